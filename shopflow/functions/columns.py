@@ -8,10 +8,6 @@ from pyspark.sql import Column, functions as F
 
 UNKNOWN = "unknown"
 
-# Money is summed as exact decimals: a sum of doubles depends on the order in which
-# partitions arrive, so a retried task could change the last digits of a report.
-MONEY = "decimal(18,2)"
-
 
 def is_blank(column: str | Column) -> Column:
     c = F.col(column) if isinstance(column, str) else column
@@ -24,14 +20,27 @@ def or_unknown(column: str | Column) -> Column:
     return F.when(is_blank(c), F.lit(UNKNOWN)).otherwise(c)
 
 
-def money(column: str | Column) -> Column:
+# Amounts are summed as whole ten-thousandths of the currency unit. A sum of doubles
+# depends on the order in which partitions arrive, so a retried task could change the last
+# digits of a report; integers do not, and they add without allocating as decimals do.
+# A total beyond 9 * 10**14 currency units fails the job (ANSI overflow), it never wraps.
+UNITS = 10_000
+
+
+def units(column: str | Column) -> Column:
+    """An amount as an exact integer."""
     c = F.col(column) if isinstance(column, str) else column
-    return c.try_cast(MONEY)
+    return F.rint(c * UNITS).try_cast("bigint")
+
 
+def units_where(condition: Column, column: str | Column = "price") -> Column:
+    """The units of qualifying rows and 0 for the others, ready to be summed."""
+    return F.when(condition, units(column)).otherwise(F.lit(0).cast("bigint"))
 
-def money_where(condition: Column, column: str | Column = "price") -> Column:
-    """The amount on qualifying rows and 0 on the others, ready to be summed."""
-    return F.when(condition, money(column)).otherwise(F.lit(0).cast(MONEY))
+
+def from_units(total: Column) -> Column:
+    """The amount as double."""
+    return total.cast("double") / float(UNITS)
 
 
 def is_event(event_type: str) -> Column:
@@ -44,12 +53,8 @@ def times(event_type: str) -> Column:
 
 
 def revenue() -> Column:
-    """Exact purchase value of the group."""
-    return F.sum(money_where(is_event("purchase")))
-
-
-def as_double(amount: Column) -> Column:
-    return amount.cast("double")
+    """Exact purchase value of the group, in units."""
+    return F.sum(units_where(is_event("purchase")))
 
 
 def ratio(part: Column, whole: Column) -> Column:
@@ -62,8 +67,8 @@ def pct(part: Column, whole: Column, digits: int = 2) -> Column:
     return F.round(part.cast("double") * 100.0 / F.nullif(whole.cast("double"), F.lit(0.0)), digits)
 
 
-def mean_money(amount: Column, rows: Column, digits: int = 2) -> Column:
-    return F.round(ratio(amount, rows), digits)
+def mean_of_units(total: Column, rows: Column, digits: int = 2) -> Column:
+    return F.round(ratio(from_units(total), rows), digits)
 
 
 def below(value: Column, steps: Iterable[tuple[float, object]], otherwise: object) -> Column:

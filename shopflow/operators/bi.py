@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import BUYER_LAST, BUYER_STEPS, FUNNEL_STAGES, INTENT_LAST
-from ..functions.columns import UNKNOWN, as_double, below, money
+from ..functions.columns import UNKNOWN, below, from_units, mean_of_units, units
 
 
 def _top(table: DataFrame, n: int, by: str, tie: str) -> DataFrame:
@@ -67,7 +67,7 @@ def dash_repeat_buyers(user_summary: DataFrame) -> DataFrame:
         )
         .agg(
             F.count(F.lit(1)).alias("users"),
-            as_double(F.round(F.sum(money("total_spend")), 0)).alias("total_spend"),
+            F.round(from_units(F.sum(units("total_spend"))), 0).alias("total_spend"),
         )
         .orderBy("buyer_segment")
     )
@@ -99,26 +99,24 @@ def dash_top_products(top_products: DataFrame, n: int = 25) -> DataFrame:
 def dash_totals(daily_metrics: DataFrame) -> DataFrame:
     """Headline counters. Users and sessions are sums of daily counts and the conversion
     is an unweighted mean of days."""
-    days = F.count("conversion_rate_pct")
-    mean = F.sum(F.col("conversion_rate_pct").cast("decimal(12,2)")).cast("double") / F.nullif(
-        days, F.lit(0)
-    )
+    rate = "conversion_rate_pct"
+    mean = mean_of_units(F.sum(units(rate)), F.count(rate))
     return daily_metrics.agg(
-        as_double(F.sum(money("revenue"))).alias("total_revenue"),
+        from_units(F.sum(units("revenue"))).alias("total_revenue"),
         F.sum("sessions").alias("total_sessions"),
         F.sum("unique_users").alias("total_users"),
-        F.round(mean, 2).alias("avg_conversion_pct"),
+        mean.alias("avg_conversion_pct"),
     )
 
 
 def dash_abandoned_total(cart_abandonment: DataFrame) -> DataFrame:
     return cart_abandonment.agg(
-        as_double(F.sum(money("abandoned_cart_value"))).alias("abandoned_value")
+        from_units(F.sum(units("abandoned_cart_value"))).alias("abandoned_value")
     )
 
 
 def _millions(amount: Column) -> Column:
-    return F.round(as_double(F.sum(amount)) / 1e6, 1)
+    return F.round(from_units(F.sum(amount)) / 1e6, 1)
 
 
 def booth_headline(
@@ -129,9 +127,9 @@ def booth_headline(
     top_band: str = INTENT_LAST,
 ) -> DataFrame:
     """Four headline numbers, each a scalar over its own table."""
-    revenue = daily_metrics.agg(_millions(money("revenue")))
-    lost = cart_abandonment.agg(_millions(money("abandoned_cart_value")))
-    pool = intent.where(F.col("view_band") == top_band).agg(_millions(money("unconverted_value")))
+    revenue = daily_metrics.agg(_millions(units("revenue")))
+    lost = cart_abandonment.agg(_millions(units("abandoned_cart_value")))
+    pool = intent.where(F.col("view_band") == top_band).agg(_millions(units("unconverted_value")))
     return attach_rate.select(
         revenue.scalar().alias("revenue_m"),
         lost.scalar().alias("abandoned_m"),
@@ -177,7 +175,7 @@ def ask_browsed_not_bought(category_performance: DataFrame, min_views: int = 100
 def ask_abandonment(cart_abandonment: DataFrame) -> DataFrame:
     return cart_abandonment.agg(
         F.sum("abandoned_sessions").alias("abandoned_sessions"),
-        as_double(F.sum(money("abandoned_cart_value"))).alias("abandoned_cart_value"),
+        from_units(F.sum(units("abandoned_cart_value"))).alias("abandoned_cart_value"),
     )
 
 

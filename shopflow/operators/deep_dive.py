@@ -15,7 +15,7 @@ from ..fixed_values import (
     TIER_ELEVATED,
     TIER_MEGA,
 )
-from ..functions.columns import as_double, is_event, pct, period_start, ratio, revenue
+from ..functions.columns import from_units, is_event, pct, period_start, ratio, revenue, units
 from ..functions.ranking import distributed_ntile
 from ..session import stored
 from .diagnostic import price_cuts
@@ -142,7 +142,7 @@ def buyer_recency(fact: DataFrame, anchor_date: str = RECENCY_ANCHOR) -> DataFra
         .agg(
             F.date_diff(_day(anchor_date), F.max("last_date")).alias("recency_days"),
             F.count("user_session").alias("frequency"),
-            F.sum("spend").alias("monetary"),
+            from_units(F.sum("spend")).alias("monetary"),
         )
         .where("monetary > 0")
     )
@@ -165,14 +165,14 @@ def rfm_segmentation(
             F.sum("recency_days").alias("days"),
             F.count("recency_days").alias("dated"),
             F.sum("frequency").alias("sessions"),
-            F.sum("monetary").alias("spend"),
+            F.sum(units("monetary")).alias("spend"),
         )
         .select(
             "recency_score",
             "buyers",
             F.round(ratio(F.col("days"), F.col("dated")), 1).alias("avg_recency_days"),
             F.round(ratio(F.col("sessions"), F.col("buyers")), 1).alias("avg_sessions"),
-            F.round(ratio(as_double(F.col("spend")), F.col("buyers")), 0).alias("avg_spend"),
+            F.round(ratio(from_units(F.col("spend")), F.col("buyers")), 0).alias("avg_spend"),
         )
     )
 

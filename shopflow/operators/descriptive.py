@@ -13,14 +13,14 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from ..functions.columns import (
     UNKNOWN,
-    as_double,
+    from_units,
     is_event,
-    mean_money,
-    money,
+    mean_of_units,
     or_unknown,
     pct,
     revenue,
     times,
+    units,
 )
 
 
@@ -57,7 +57,7 @@ def daily_metrics(fact: DataFrame) -> DataFrame:
             "product_views",
             "sessions_with_cart",
             "sessions_with_purchase",
-            as_double(F.col("revenue")).alias("revenue"),
+            from_units(F.col("revenue")).alias("revenue"),
             "purchase_events",
             pct(F.col("sessions_with_purchase"), F.col("sessions")).alias("conversion_rate_pct"),
         )
@@ -107,7 +107,7 @@ def cart_abandonment(fact: DataFrame, dim_session: DataFrame) -> DataFrame:
         .agg(
             F.count_distinct("user_session").alias("abandoned_sessions"),
             F.count_distinct("user_id").alias("affected_users"),
-            as_double(F.sum(money("price"))).alias("abandoned_cart_value"),
+            from_units(F.sum(units("price"))).alias("abandoned_cart_value"),
         )
     )
 
@@ -137,7 +137,7 @@ def category_performance(fact: DataFrame) -> DataFrame:
             _pairs("views").alias("views"),
             _pairs("carts").alias("carts"),
             F.sum("purchases").alias("purchases"),
-            as_double(F.sum("revenue")).alias("revenue"),
+            from_units(F.sum("revenue")).alias("revenue"),
         )
         .withColumn("view_to_purchase_pct", pct(F.col("purchases"), F.col("views")))
     )
@@ -158,8 +158,8 @@ def brand_performance(fact: DataFrame) -> DataFrame:
             "brand",
             "views",
             "purchases",
-            as_double(F.col("sales")).alias("revenue"),
-            mean_money(F.col("sales"), F.col("priced")).alias("avg_order_value"),
+            from_units(F.col("sales")).alias("revenue"),
+            mean_of_units(F.col("sales"), F.col("priced")).alias("avg_order_value"),
         )
     )
 
@@ -186,7 +186,7 @@ def top_products(fact: DataFrame, n: int = 100) -> DataFrame:
         )
         .orderBy(F.desc("revenue"), "product_id")
         .limit(n)
-        .withColumn("revenue", as_double(F.col("revenue")))
+        .withColumn("revenue", from_units(F.col("revenue")))
     )
 
 
@@ -203,7 +203,7 @@ def user_summary(fact: DataFrame) -> DataFrame:
         F.max("last_date").alias("last_active_date"),
         F.date_diff(F.max("last_date"), F.min("first_date")).alias("active_span_days"),
         F.sum("purchases").alias("purchase_count"),
-        as_double(F.sum("revenue")).alias("total_spend"),
+        from_units(F.sum("revenue")).alias("total_spend"),
     )
 
 
@@ -215,5 +215,5 @@ def hourly_pattern(fact: DataFrame) -> DataFrame:
     return by_session.groupBy("hour_of_day").agg(
         F.count("user_session").alias("sessions"),
         F.sum("purchases").alias("purchases"),
-        as_double(F.sum("revenue")).alias("revenue"),
+        from_units(F.sum("revenue")).alias("revenue"),
     )

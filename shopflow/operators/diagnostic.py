@@ -17,15 +17,15 @@ from ..fixed_values import (
     RECOVERY_PARTIAL,
 )
 from ..functions.columns import (
-    as_double,
     below,
+    from_units,
     is_blank,
     is_event,
-    mean_money,
-    money,
-    money_where,
+    mean_of_units,
     pct,
     times,
+    units,
+    units_where,
 )
 
 Steps = Sequence[tuple[float, str]]
@@ -45,7 +45,7 @@ def user_product_interest(fact: DataFrame) -> DataFrame:
 
 
 def _lost_value() -> Column:
-    return as_double(F.round(F.sum(money_where(~F.col("bought"))), 0))
+    return F.round(from_units(F.sum(units_where(~F.col("bought")))), 0)
 
 
 def intent_by_view_depth(
@@ -123,7 +123,7 @@ def _session_category_sales(fact: DataFrame) -> DataFrame:
     return (
         fact.where(is_event("purchase"))
         .groupBy("user_session", "category_code")
-        .agg(F.count("price").alias("priced"), F.sum(money("price")).alias("sales"))
+        .agg(F.count("price").alias("priced"), F.sum(units("price")).alias("sales"))
     )
 
 
@@ -158,8 +158,8 @@ def attach_opportunity(fact: DataFrame, anchor: str = ANCHOR_CATEGORY) -> DataFr
             "attached_category",
             "sessions",
             pct(F.col("sessions"), anchors.scalar(), 3).alias("pct_of_phone_buyers"),
-            mean_money(F.col("sales"), F.col("priced")).alias("avg_price"),
-            as_double(F.round("sales", 0)).alias("revenue"),
+            mean_of_units(F.col("sales"), F.col("priced")).alias("avg_price"),
+            F.round(from_units(F.col("sales")), 0).alias("revenue"),
         )
     )
 
@@ -189,7 +189,7 @@ def attach_rate_overall(fact: DataFrame, anchor: str = ANCHOR_CATEGORY) -> DataF
 def product_days(fact: DataFrame) -> DataFrame:
     """Per (product, day): average price to the cent, purchases and views."""
     days = fact.groupBy("product_id", "event_date").agg(
-        F.sum(money("price")).alias("amount"),
+        F.sum(units("price")).alias("amount"),
         F.count("price").alias("priced"),
         times("purchase").alias("purchases"),
         times("view").alias("views"),
@@ -197,7 +197,7 @@ def product_days(fact: DataFrame) -> DataFrame:
     return days.select(
         "product_id",
         "event_date",
-        mean_money(F.col("amount"), F.col("priced")).alias("avg_price"),
+        mean_of_units(F.col("amount"), F.col("priced")).alias("avg_price"),
         "purchases",
         "views",
     )
@@ -292,9 +292,9 @@ def recovery_sizing(
     cart_abandonment: DataFrame, low: float = 0.05, high: float = 0.15
 ) -> DataFrame:
     """Range of abandoned value that a recovery campaign would bring back."""
-    lost = F.sum(money("abandoned_cart_value"))
+    lost = F.sum(units("abandoned_cart_value"))
     return cart_abandonment.agg(
-        as_double(lost).alias("abandoned_value"),
-        F.round(as_double(lost) * low, 2).alias("recoverable_low"),
-        F.round(as_double(lost) * high, 2).alias("recoverable_high"),
+        from_units(lost).alias("abandoned_value"),
+        F.round(from_units(lost) * low, 2).alias("recoverable_low"),
+        F.round(from_units(lost) * high, 2).alias("recoverable_high"),
     )

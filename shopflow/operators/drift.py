@@ -10,7 +10,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..fixed_values import DRIFT_THRESHOLD_PCT
-from ..functions.columns import money
+from ..functions.columns import from_units, units
 from ..schemas import METRICS_HISTORY
 
 Tables = Mapping[str, DataFrame]
@@ -40,10 +40,10 @@ METRICS: dict[str, Metric] = {
     "dq_purchase_without_cart_pct": _quality("purchase_without_cart"),
     "dq_missing_category_pct": _quality("missing_category_code"),
     "dq_missing_brand_pct": _quality("missing_brand"),
-    "total_revenue": lambda t: _scalar(t["daily_metrics"], F.round(F.sum(money("revenue")), 0)),
+    "total_revenue": lambda t: _scalar(t["daily_metrics"], F.round(from_units(F.sum(units("revenue"))), 0)),
     "total_sessions": lambda t: _scalar(t["daily_metrics"], F.sum("sessions")),
     "abandoned_cart_value": lambda t: _scalar(
-        t["cart_abandonment"], F.round(F.sum(money("abandoned_cart_value")), 0)
+        t["cart_abandonment"], F.round(from_units(F.sum(units("abandoned_cart_value"))), 0)
     ),
 }
 

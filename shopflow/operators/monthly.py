@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, Window, functions as F
 
-from ..functions.columns import as_double, money, pct, period_start, ratio
+from ..functions.columns import from_units, pct, period_start, ratio, units
 from .diagnostic import price_moves
 
 
@@ -87,16 +87,16 @@ def monthly_abandonment_ratio(
     would lose the days on which only one of them has a row.
     """
     lost = cart_abandonment.select(
-        "event_date", "abandoned_sessions", money("abandoned_cart_value").alias("lost")
+        "event_date", "abandoned_sessions", units("abandoned_cart_value").alias("lost")
     )
-    earned = daily_metrics.select("event_date", money("revenue").alias("earned"))
+    earned = daily_metrics.select("event_date", units("revenue").alias("earned"))
     rows = (
         lost.unionByName(earned, allowMissingColumns=True)
         .groupBy(period_start("event_date", period).alias("period"))
         .agg(
             F.coalesce(F.sum("abandoned_sessions"), F.lit(0)).alias("abandoned_sessions"),
-            as_double(F.coalesce(F.sum("lost"), F.lit(0))).alias("abandoned_value"),
-            as_double(F.coalesce(F.sum("earned"), F.lit(0))).alias("revenue"),
+            from_units(F.coalesce(F.sum("lost"), F.lit(0))).alias("abandoned_value"),
+            from_units(F.coalesce(F.sum("earned"), F.lit(0))).alias("revenue"),
         )
     )
     return rows.withColumn(
@@ -120,11 +120,11 @@ def price_change_by_month(fact: DataFrame, period: str = "month") -> DataFrame:
 
 def category_revenue_share(category_performance: DataFrame) -> DataFrame:
     """Revenue per category and its share of the total, one row per category."""
-    total = category_performance.agg(F.sum(money("revenue")))
+    total = category_performance.agg(F.sum(units("revenue")))
     return category_performance.select(
         F.col("category_code"),
         F.col("revenue"),
-        pct(F.col("revenue"), as_double(total.scalar())).alias("revenue_share_pct"),
+        pct(F.col("revenue"), from_units(total.scalar())).alias("revenue_share_pct"),
     )
 
 

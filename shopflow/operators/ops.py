@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import CATALOG, JOB_NAME
-from ..functions.columns import ratio
+from ..functions.columns import from_units, ratio, units
 
 
 def _since(as_of: str, days: int) -> Column:
@@ -19,14 +19,14 @@ def daily_dbu_cost(usage: DataFrame, as_of: str, days: int = 30) -> DataFrame:
         usage.where(F.col("usage_date") >= first)
         .groupBy("usage_date", "sku_name", "usage_unit")
         .agg(
-            F.sum(F.col("usage_quantity").try_cast("decimal(28,6)")).alias("quantity"),
+            F.sum(units("usage_quantity")).alias("quantity"),
             F.count_distinct("usage_metadata.warehouse_id").alias("warehouses"),
         )
         .select(
             "usage_date",
             "sku_name",
             "usage_unit",
-            F.round("quantity", 2).cast("double").alias("dbus"),
+            F.round(from_units(F.col("quantity")), 2).alias("dbus"),
             "warehouses",
         )
         .orderBy(F.desc("usage_date"), F.desc("dbus"), "sku_name", "usage_unit")

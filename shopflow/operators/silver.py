@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import as_double, or_unknown, revenue, times
+from ..functions.columns import from_units, or_unknown, revenue, times
 
 # fixed values: the event vocabulary
 EVENT_TYPES = ("view", "cart", "purchase", "remove_from_cart")
@@ -117,7 +117,7 @@ def dim_session(fact: DataFrame) -> DataFrame:
             (F.sum("views") > 0).alias("has_view"),
             (F.sum("carts") > 0).alias("has_cart"),
             (F.sum("purchases") > 0).alias("has_purchase"),
-            as_double(F.sum("revenue")).alias("session_revenue"),
+            from_units(F.sum("revenue")).alias("session_revenue"),
         )
     )
 

@@ -37,6 +37,8 @@ def local_session(cpus: int | str = "*", app: str = "shopflow", **conf: str) ->
         .config("spark.ui.enabled", "false")
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
+        # no Python call sites in plans: capturing them slows plan building
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
     )
     for key, value in {**SESSION_CONF, **conf}.items():
         builder = builder.config(key, value)
