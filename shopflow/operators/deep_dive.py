@@ -1,4 +1,7 @@
-"""Follow-up analyses: sale-day tiers, user cohorts, recency segments, retention."""
+"""Follow-up analyses: sale-day tiers, user cohorts, recency segments, retention.
+
+Parameters named ``events`` take the fact or its stored rollup (``operators.rollup``).
+"""
 
 from __future__ import annotations
 
@@ -15,20 +18,21 @@ from ..fixed_values import (
     TIER_ELEVATED,
     TIER_MEGA,
 )
-from ..functions.columns import from_units, is_event, pct, period_start, ratio, revenue, units
+from ..functions.columns import from_units, pct, period_start, ratio, units
 from ..functions.ranking import distributed_ntile
 from ..session import stored
 from .diagnostic import price_cuts
+from .rollup import counted, only
 
 
 def _day(text: str) -> Column:
     return F.lit(text).cast("date")
 
 
-def cut_days(fact: DataFrame) -> DataFrame:
+def cut_days(events: DataFrame) -> DataFrame:
     """Per day: products whose price was cut, with the day's views and purchases of them."""
     return (
-        price_cuts(fact)
+        price_cuts(events)
         .where(F.col("event_date").isNotNull())
         .groupBy("event_date")
         .agg(
@@ -62,30 +66,30 @@ def _tier_totals(days: DataFrame, *keys: str) -> DataFrame:
 
 
 def discount_tier_analysis(
-    fact: DataFrame, mega: int = MEGA_CUTS, elevated: int = ELEVATED_CUTS, period: str = "month"
+    events: DataFrame, mega: int = MEGA_CUTS, elevated: int = ELEVATED_CUTS, period: str = "month"
 ) -> DataFrame:
     """Conversion of price-cut product-days by month and by how many products were cut that day.
 
     The tier follows from the day, so the cuts are folded to days first and no join back
     is needed.
     """
-    days = _with_tier(cut_days(fact), mega, elevated)
+    days = _with_tier(cut_days(events), mega, elevated)
     return _tier_totals(
         days.withColumn("month", period_start("event_date", period)), "month", "sale_day_tier"
     )
 
 
 def sale_tier_totals(
-    fact: DataFrame, mega: int = MEGA_CUTS, elevated: int = ELEVATED_CUTS
+    events: DataFrame, mega: int = MEGA_CUTS, elevated: int = ELEVATED_CUTS
 ) -> DataFrame:
     """The tiers over the whole period."""
-    return _tier_totals(_with_tier(cut_days(fact), mega, elevated), "sale_day_tier")
+    return _tier_totals(_with_tier(cut_days(events), mega, elevated), "sale_day_tier")
 
 
-def top_cut_days(fact: DataFrame, n: int = 10) -> DataFrame:
+def top_cut_days(events: DataFrame, n: int = 10) -> DataFrame:
     """The days on which most products were cut."""
     return (
-        cut_days(fact)
+        cut_days(events)
         .select("event_date", "products_cut")
         .orderBy(F.desc("products_cut"), "event_date")
         .limit(n)
@@ -93,7 +97,7 @@ def top_cut_days(fact: DataFrame, n: int = 10) -> DataFrame:
 
 
 def cohort_behavior(
-    fact: DataFrame,
+    events: DataFrame,
     split_date: str = SPLIT_DATE,
     returning: str = COHORT_RETURNING,
     new: str = COHORT_NEW,
@@ -105,15 +109,18 @@ def cohort_behavior(
     """
     later = F.col("event_date") >= _day(split_date)
     users = (
-        fact.where(F.col("user_id").isNotNull())
+        counted(events)
+        .where(F.col("user_id").isNotNull())
         .groupBy("user_id")
         .agg(
             F.min("event_date").alias("first_date"),
-            F.count_if(later).alias("events"),
-            F.count_if(later & is_event("view")).alias("views"),
-            F.count_if(later & is_event("purchase")).alias("purchases"),
+            F.count_if(later).alias("active"),
+            *(
+                F.sum(F.when(later, F.col(name)).otherwise(0)).alias(name)
+                for name in ("views", "purchases")
+            ),
         )
-        .where("events > 0")
+        .where("active > 0")
     )
     return (
         users.groupBy(
@@ -130,12 +137,13 @@ def cohort_behavior(
     )
 
 
-def buyer_recency(fact: DataFrame, anchor_date: str = RECENCY_ANCHOR) -> DataFrame:
+def buyer_recency(events: DataFrame, anchor_date: str = RECENCY_ANCHOR) -> DataFrame:
     """Recency in days, sessions and spend of every user who spent anything."""
     by_session = (
-        fact.where(F.col("user_id").isNotNull())
+        counted(events)
+        .where(F.col("user_id").isNotNull())
         .groupBy("user_id", "user_session")
-        .agg(F.max("event_date").alias("last_date"), revenue().alias("spend"))
+        .agg(F.max("event_date").alias("last_date"), F.sum("revenue").alias("spend"))
     )
     return (
         by_session.groupBy("user_id")
@@ -149,14 +157,14 @@ def buyer_recency(fact: DataFrame, anchor_date: str = RECENCY_ANCHOR) -> DataFra
 
 
 def rfm_segmentation(
-    fact: DataFrame, anchor_date: str = RECENCY_ANCHOR, n: int = 4
+    events: DataFrame, anchor_date: str = RECENCY_ANCHOR, n: int = 4
 ) -> DataFrame:
     """Buyers in n equal groups by recency (n = most recent), with their averages.
 
     Ranking reads the buyers more than once, so they are stored first: the events are
     scanned and folded to buyers a single time.
     """
-    buyers = stored(buyer_recency(fact, anchor_date), "buyers")
+    buyers = stored(buyer_recency(events, anchor_date), "buyers")
     scored = distributed_ntile(buyers, "recency_days", "user_id", n, "recency_score")
     return (
         scored.groupBy("recency_score")
@@ -177,11 +185,11 @@ def rfm_segmentation(
     )
 
 
-def buyer_retention(fact: DataFrame, split_date: str = SPLIT_DATE) -> DataFrame:
+def buyer_retention(events: DataFrame, split_date: str = SPLIT_DATE) -> DataFrame:
     """Buyers before ``split_date`` and how many of them bought again from then on."""
     day = F.col("event_date")
     buyers = (
-        fact.where(is_event("purchase"))
+        only(events, "purchase")
         .groupBy("user_id")
         .agg(
             (F.count_if(day < _day(split_date)) > 0).alias("earlier"),

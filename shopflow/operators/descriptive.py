@@ -1,6 +1,8 @@
 """Descriptive gold tables: what happened, by day, funnel stage, category, brand,
 product, user and hour.
 
+Parameters named ``events`` take the fact or its stored rollup (``operators.rollup``).
+
 Distinct counts go through rollups whose grouping key already is the distinct key.
 That replaces the row multiplication Spark plans for several COUNT(DISTINCT)s, and
 the wide key keeps a dominant day, category or brand from filling one reducer: the
@@ -22,21 +24,19 @@ from ..functions.columns import (
     times,
     units,
 )
+from .rollup import counted, summed
 
 
-def daily_metrics(fact: DataFrame) -> DataFrame:
+def daily_metrics(events: DataFrame) -> DataFrame:
     """Traffic, conversion and revenue per day."""
-    by_product = fact.groupBy("event_date", "user_session", "product_id").agg(
-        times("view").alias("views"),
-        times("cart").alias("carts"),
-        times("purchase").alias("purchases"),
-        revenue().alias("revenue"),
+    by_product = (
+        counted(events)
+        .groupBy("event_date", "user_session", "product_id")
+        .agg(*summed("views", "carts", "purchases", "revenue"))
     )
     by_session = by_product.groupBy("event_date", "user_session").agg(
         F.count_if((F.col("views") > 0) & F.col("product_id").isNotNull()).alias("viewed_products"),
-        F.sum("carts").alias("carts"),
-        F.sum("purchases").alias("purchases"),
-        F.sum("revenue").alias("revenue"),
+        *summed("carts", "purchases", "revenue"),
     )
     by_day = by_session.groupBy("event_date").agg(
         F.count("user_session").alias("sessions"),
@@ -47,7 +47,7 @@ def daily_metrics(fact: DataFrame) -> DataFrame:
         F.sum("purchases").alias("purchase_events"),
     )
     # users do not follow from sessions (a session may carry two ids): own narrow rollup
-    users = fact.groupBy("event_date").agg(F.count_distinct("user_id").alias("unique_users"))
+    users = events.groupBy("event_date").agg(F.count_distinct("user_id").alias("unique_users"))
     return (
         by_day.join(users, by_day["event_date"].eqNullSafe(users["event_date"]))
         .select(
@@ -112,14 +112,12 @@ def cart_abandonment(fact: DataFrame, dim_session: DataFrame) -> DataFrame:
     )
 
 
-def _pairs_rollup(fact: DataFrame, label: Column, name: str) -> DataFrame:
+def _by_pair(events: DataFrame, label: Column, name: str) -> DataFrame:
     """Per (label, session, product): how often viewed, carted, bought, and for how much."""
-    return fact.groupBy(label.alias(name), "user_session", "product_id").agg(
-        times("view").alias("views"),
-        times("cart").alias("carts"),
-        times("purchase").alias("purchases"),
-        revenue().alias("revenue"),
-        F.count_if(is_event("purchase") & F.col("price").isNotNull()).alias("priced_purchases"),
+    return (
+        counted(events)
+        .groupBy(label.alias(name), "user_session", "product_id")
+        .agg(*summed("views", "carts", "purchases", "revenue", "sold"))
     )
 
 
@@ -128,9 +126,9 @@ def _pairs(count: str) -> Column:
     return F.count_if((F.col(count) > 0) & known)
 
 
-def category_performance(fact: DataFrame) -> DataFrame:
+def category_performance(events: DataFrame) -> DataFrame:
     """Views and carts (distinct session-product pairs), purchases and revenue per category."""
-    rows = _pairs_rollup(fact, or_unknown("category_code"), "category_code")
+    rows = _by_pair(events, or_unknown("category_code"), "category_code")
     return (
         rows.groupBy("category_code")
         .agg(
@@ -143,46 +141,43 @@ def category_performance(fact: DataFrame) -> DataFrame:
     )
 
 
-def brand_performance(fact: DataFrame) -> DataFrame:
+def brand_performance(events: DataFrame) -> DataFrame:
     """Views, purchases, revenue and order value per known brand."""
-    rows = _pairs_rollup(fact.where(F.col("brand") != UNKNOWN), F.col("brand"), "brand")
+    rows = _by_pair(events.where(F.col("brand") != UNKNOWN), F.col("brand"), "brand")
     return (
         rows.groupBy("brand")
         .agg(
             _pairs("views").alias("views"),
             F.sum("purchases").alias("purchases"),
             F.sum("revenue").alias("sales"),
-            F.sum("priced_purchases").alias("priced"),
+            F.sum("sold").alias("sold"),
         )
         .select(
             "brand",
             "views",
             "purchases",
             from_units(F.col("sales")).alias("revenue"),
-            mean_of_units(F.col("sales"), F.col("priced")).alias("avg_order_value"),
+            mean_of_units(F.col("sales"), F.col("sold")).alias("avg_order_value"),
         )
     )
 
 
-def top_products(fact: DataFrame, n: int = 100) -> DataFrame:
+def top_products(events: DataFrame, n: int = 100) -> DataFrame:
     """The n products with most revenue; here views are rows, not distinct pairs.
 
     Category and brand are the smallest values seen for the product. They are grouping
     keys of the first step, so its aggregate stays a hash aggregate on numbers.
     """
-    by_attributes = fact.groupBy("product_id", "category_code", "brand").agg(
-        times("view").alias("views"),
-        times("purchase").alias("purchases"),
-        revenue().alias("revenue"),
+    measures = ("views", "purchases", "revenue")
+    by_attributes = (
+        counted(events).groupBy("product_id", "category_code", "brand").agg(*summed(*measures))
     )
     return (
         by_attributes.groupBy("product_id")
         .agg(
             F.min("category_code").alias("category_code"),
             F.min("brand").alias("brand"),
-            F.sum("views").alias("views"),
-            F.sum("purchases").alias("purchases"),
-            F.sum("revenue").alias("revenue"),
+            *summed(*measures),
         )
         .orderBy(F.desc("revenue"), "product_id")
         .limit(n)
@@ -190,13 +185,16 @@ def top_products(fact: DataFrame, n: int = 100) -> DataFrame:
     )
 
 
-def user_summary(fact: DataFrame) -> DataFrame:
+def user_summary(events: DataFrame) -> DataFrame:
     """Sessions, activity span, purchases and spend per user."""
-    by_session = fact.groupBy("user_id", "user_session").agg(
-        F.min("event_date").alias("first_date"),
-        F.max("event_date").alias("last_date"),
-        times("purchase").alias("purchases"),
-        revenue().alias("revenue"),
+    by_session = (
+        counted(events)
+        .groupBy("user_id", "user_session")
+        .agg(
+            F.min("event_date").alias("first_date"),
+            F.max("event_date").alias("last_date"),
+            *summed("purchases", "revenue"),
+        )
     )
     return by_session.groupBy("user_id").agg(
         F.count("user_session").alias("total_sessions"),

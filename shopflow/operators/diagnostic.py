@@ -1,4 +1,7 @@
-"""Diagnostic gold tables: intent, price bands, attach rate, price moves, category repair."""
+"""Diagnostic gold tables: intent, price bands, attach rate, price moves, category repair.
+
+Parameters named ``events`` take the fact or its stored rollup (``operators.rollup``).
+"""
 
 from __future__ import annotations
 
@@ -20,26 +23,25 @@ from ..functions.columns import (
     below,
     from_units,
     is_blank,
-    is_event,
     mean_of_units,
     pct,
-    times,
     units,
     units_where,
 )
+from .rollup import counted, only, summed
 
 Steps = Sequence[tuple[float, str]]
 
 
-def user_product_interest(fact: DataFrame) -> DataFrame:
-    """Per (user, product): views, whether bought, and the highest price seen."""
+def user_product_interest(events: DataFrame) -> DataFrame:
+    """Per (user, product) viewed or bought: views, whether bought, highest price seen."""
     return (
-        fact.where(F.col("event_type").isin("view", "purchase"))
+        counted(only(events, "view", "purchase"))
         .groupBy("user_id", "product_id")
         .agg(
-            times("view").alias("views"),
-            (times("purchase") > 0).alias("bought"),
-            F.max("price").alias("price"),
+            F.sum("views").alias("views"),
+            (F.sum("purchases") > 0).alias("bought"),
+            F.max("seen_price").alias("price"),
         )
     )
 
@@ -49,11 +51,11 @@ def _lost_value() -> Column:
 
 
 def intent_by_view_depth(
-    fact: DataFrame, steps: Steps = INTENT_STEPS, last: str = INTENT_LAST
+    events: DataFrame, steps: Steps = INTENT_STEPS, last: str = INTENT_LAST
 ) -> DataFrame:
     """Conversion and unconverted value by how often a user viewed a product."""
     order = [(bound, i) for i, (bound, _) in enumerate(steps, start=1)]
-    pairs = user_product_interest(fact).where("views > 0")
+    pairs = user_product_interest(events).where("views > 0")
     return (
         pairs.groupBy(
             below(F.col("views"), steps, last).alias("view_band"),
@@ -77,26 +79,26 @@ def intent_by_view_depth(
     )
 
 
-def retargeting_segment(fact: DataFrame, min_views: int = 10) -> DataFrame:
+def retargeting_segment(events: DataFrame, min_views: int = 10) -> DataFrame:
     """The (user, product) pairs viewed at least ``min_views`` times and never bought."""
     return (
-        user_product_interest(fact)
+        user_product_interest(events)
         .where((F.col("views") >= min_views) & ~F.col("bought"))
         .select("user_id", "product_id", "views", "price")
     )
 
 
 def cart_conversion_by_price(
-    fact: DataFrame, steps: Steps = PRICE_STEPS, last: str = PRICE_LAST
+    events: DataFrame, steps: Steps = PRICE_STEPS, last: str = PRICE_LAST
 ) -> DataFrame:
     """Share of carted (session, product) pairs that were bought, per price band."""
     carted = (
-        fact.where(F.col("event_type").isin("cart", "purchase"))
+        counted(only(events, "cart", "purchase"))
         .groupBy("user_session", "product_id")
         .agg(
-            F.max("price").alias("price"),
-            (times("purchase") > 0).alias("bought"),
-            times("cart").alias("carts"),
+            F.max("cart_price").alias("price"),
+            (F.sum("purchases") > 0).alias("bought"),
+            F.sum("carts").alias("carts"),
         )
         .where("carts > 0")
     )
@@ -117,60 +119,60 @@ def cart_conversion_by_price(
     )
 
 
-def _session_category_sales(fact: DataFrame) -> DataFrame:
+def _session_category_sales(events: DataFrame) -> DataFrame:
     """Purchases folded to (session, category): a session is at most as many rows as
     there are categories, whatever its number of purchases."""
     return (
-        fact.where(is_event("purchase"))
+        counted(only(events, "purchase"))
         .groupBy("user_session", "category_code")
-        .agg(F.count("price").alias("priced"), F.sum(units("price")).alias("sales"))
+        .agg(*summed("sold", "revenue"))
     )
 
 
-def _anchor_sessions(fact: DataFrame, anchor: str) -> DataFrame:
+def _anchor_sessions(events: DataFrame, anchor: str) -> DataFrame:
     return (
-        fact.where(is_event("purchase") & (F.col("category_code") == anchor))
+        only(events, "purchase")
+        .where(F.col("category_code") == anchor)
         .select("user_session")
         .distinct()
     )
 
 
-def _other_sales(fact: DataFrame, anchor: str) -> DataFrame:
+def _other_sales(events: DataFrame, anchor: str) -> DataFrame:
     """Sales of labelled categories other than the anchor, in sessions that bought the anchor."""
-    others = _session_category_sales(fact).where(
+    others = _session_category_sales(events).where(
         (F.col("category_code") != anchor) & ~is_blank("category_code")
     )
-    return others.join(_anchor_sessions(fact, anchor), "user_session", "left_semi")
+    return others.join(_anchor_sessions(events, anchor), "user_session", "left_semi")
 
 
-def attach_opportunity(fact: DataFrame, anchor: str = ANCHOR_CATEGORY) -> DataFrame:
+def attach_opportunity(events: DataFrame, anchor: str = ANCHOR_CATEGORY) -> DataFrame:
     """What buyers of the anchor category bought with it in the same session."""
-    anchors = _anchor_sessions(fact, anchor).agg(F.count(F.lit(1)))
+    anchors = _anchor_sessions(events, anchor).agg(F.count(F.lit(1)))
     return (
-        _other_sales(fact, anchor)
+        _other_sales(events, anchor)
         .groupBy(F.col("category_code").alias("attached_category"))
         .agg(
             F.count(F.lit(1)).alias("sessions"),
-            F.sum("priced").alias("priced"),
-            F.sum("sales").alias("sales"),
+            *summed("sold", "revenue"),
         )
         .select(
             "attached_category",
             "sessions",
             pct(F.col("sessions"), anchors.scalar(), 3).alias("pct_of_phone_buyers"),
-            mean_of_units(F.col("sales"), F.col("priced")).alias("avg_price"),
-            F.round(from_units(F.col("sales")), 0).alias("revenue"),
+            mean_of_units(F.col("revenue"), F.col("sold")).alias("avg_price"),
+            F.round(from_units(F.col("revenue")), 0).alias("revenue"),
         )
     )
 
 
-def attach_rate_overall(fact: DataFrame, anchor: str = ANCHOR_CATEGORY) -> DataFrame:
+def attach_rate_overall(events: DataFrame, anchor: str = ANCHOR_CATEGORY) -> DataFrame:
     """Sessions that bought the anchor, and those of them that bought anything else labelled.
 
     Counts sessions once, unlike the sum over ``attach_opportunity``.
     """
     by_session = (
-        fact.where(is_event("purchase"))
+        only(events, "purchase")
         .groupBy("user_session")
         .agg(
             F.count_if(F.col("category_code") == anchor).alias("anchors"),
@@ -186,13 +188,12 @@ def attach_rate_overall(fact: DataFrame, anchor: str = ANCHOR_CATEGORY) -> DataF
     ).withColumn("attach_pct", pct(F.col("attached_sessions"), F.col("anchor_sessions")))
 
 
-def product_days(fact: DataFrame) -> DataFrame:
+def product_days(events: DataFrame) -> DataFrame:
     """Per (product, day): average price to the cent, purchases and views."""
-    days = fact.groupBy("product_id", "event_date").agg(
-        F.sum(units("price")).alias("amount"),
-        F.count("price").alias("priced"),
-        times("purchase").alias("purchases"),
-        times("view").alias("views"),
+    days = (
+        counted(events)
+        .groupBy("product_id", "event_date")
+        .agg(*summed("amount", "priced", "purchases", "views"))
     )
     return days.select(
         "product_id",
@@ -203,7 +204,7 @@ def product_days(fact: DataFrame) -> DataFrame:
     )
 
 
-def price_moves(fact: DataFrame, move_pct: float = PRICE_MOVE_PCT) -> DataFrame:
+def price_moves(events: DataFrame, move_pct: float = PRICE_MOVE_PCT) -> DataFrame:
     """Product-days with a positive price on the product's previous active day, labelled
     as cut, rise or stable.
 
@@ -218,21 +219,21 @@ def price_moves(fact: DataFrame, move_pct: float = PRICE_MOVE_PCT) -> DataFrame:
         .otherwise("stable")
     )
     return (
-        product_days(fact)
+        product_days(events)
         .withColumn("prev_price", F.lag("avg_price").over(history))
         .where("prev_price > 0")
         .withColumn("price_move", move)
     )
 
 
-def price_cuts(fact: DataFrame, move_pct: float = PRICE_MOVE_PCT) -> DataFrame:
-    return price_moves(fact, move_pct).where(F.col("price_move") == f"price cut >{move_pct}%")
+def price_cuts(events: DataFrame, move_pct: float = PRICE_MOVE_PCT) -> DataFrame:
+    return price_moves(events, move_pct).where(F.col("price_move") == f"price cut >{move_pct}%")
 
 
-def price_change_effect(fact: DataFrame, move_pct: float = PRICE_MOVE_PCT) -> DataFrame:
+def price_change_effect(events: DataFrame, move_pct: float = PRICE_MOVE_PCT) -> DataFrame:
     """Conversion on product-days after a price cut, after a rise, and otherwise."""
     return (
-        price_moves(fact, move_pct)
+        price_moves(events, move_pct)
         .groupBy("price_move")
         .agg(
             F.count(F.lit(1)).alias("product_days"),
@@ -266,16 +267,16 @@ def category_recovery_check(fact: DataFrame) -> DataFrame:
 
 
 def attach_uplift(
-    fact: DataFrame, anchor: str = ANCHOR_CATEGORY, target_pct: float = 10.0
+    events: DataFrame, anchor: str = ANCHOR_CATEGORY, target_pct: float = 10.0
 ) -> DataFrame:
     """Value of raising the overall attach rate to ``target_pct``, at the average price of
     the category that is attached most often."""
     best = (
-        attach_opportunity(fact, anchor)
+        attach_opportunity(events, anchor)
         .orderBy(F.desc("sessions"), "attached_category")
         .limit(1)
     )
-    overall = attach_rate_overall(fact, anchor)
+    overall = attach_rate_overall(events, anchor)
     extra = F.greatest(
         F.col("anchor_sessions") * (target_pct / 100) - F.col("attached_sessions"), F.lit(0.0)
     )

@@ -104,10 +104,10 @@ def monthly_abandonment_ratio(
     )
 
 
-def price_change_by_month(fact: DataFrame, period: str = "month") -> DataFrame:
+def price_change_by_month(events: DataFrame, period: str = "month") -> DataFrame:
     """Conversion by price move, per period."""
     return (
-        price_moves(fact)
+        price_moves(events)
         .groupBy(period_start("event_date", period).alias("period"), "price_move")
         .agg(
             F.count(F.lit(1)).alias("product_days"),

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from ..functions.columns import from_units, or_unknown, revenue, times
+from ..functions.columns import from_units, or_unknown
+from .rollup import counted, summed
 
 # fixed values: the event vocabulary
 EVENT_TYPES = ("view", "cart", "purchase", "remove_from_cart")
@@ -85,28 +86,24 @@ def dim_product(bronze: DataFrame) -> DataFrame:
     )
 
 
-def session_products(fact: DataFrame) -> DataFrame:
-    """Rollup to (session, product): the shared first step of the session dimension."""
-    return fact.groupBy("user_session", "product_id").agg(
+def session_products(events: DataFrame) -> DataFrame:
+    """Rollup to (session, product): the first step of the session dimension."""
+    return counted(events).groupBy("user_session", "product_id").agg(
         F.min("user_id").alias("user_id"),
-        F.min("event_time").alias("first_event"),
-        F.max("event_time").alias("last_event"),
-        F.count(F.lit(1)).alias("events"),
-        times("view").alias("views"),
-        times("cart").alias("carts"),
-        times("purchase").alias("purchases"),
-        revenue().alias("revenue"),
+        F.min("first_event").alias("first_event"),
+        F.max("last_event").alias("last_event"),
+        *summed("events", "views", "carts", "purchases", "revenue"),
     )
 
 
-def dim_session(fact: DataFrame) -> DataFrame:
+def dim_session(events: DataFrame) -> DataFrame:
     """One row per session: span, volume, stages reached, revenue.
 
     Going through (session, product) makes the distinct product count a plain count
     and spreads a session that holds a large share of all events over its products.
     """
     return (
-        session_products(fact)
+        session_products(events)
         .groupBy("user_session")
         .agg(
             F.min("user_id").alias("user_id"),
@@ -120,4 +117,3 @@ def dim_session(fact: DataFrame) -> DataFrame:
             from_units(F.sum("revenue")).alias("session_revenue"),
         )
     )
-

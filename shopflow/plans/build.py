@@ -14,7 +14,7 @@ from datetime import datetime
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import alerts, drift, governance, integrity, layout, quality, silver
+from ..operators import alerts, drift, governance, integrity, layout, quality, rollup, silver
 from ..schemas import BRONZE_EVENTS, METRICS_HISTORY
 from ..session import prepare
 from ..sources import tables
@@ -54,14 +54,26 @@ def build_bronze(spark: SparkSession, raw: str, root: str) -> int:
     return added
 
 
+def _bucket_count(spark: SparkSession, path: str) -> int:
+    """Buckets of about a file's size, and at least one per core."""
+    files = layout.file_count(layout.stored_bytes(spark, path))
+    return max(files, spark.sparkContext.defaultParallelism)
+
+
 def build_silver(spark: SparkSession, root: str, version: str) -> None:
     bronze = spark.table("bronze.events")
     fact = integrity.enforce_domain(silver.fact_events(bronze))
     _publish(layout.clustered(fact), "silver.fact_events", root, version)
     _publish(silver.dim_product(bronze), "silver.dim_product", root, version)
-    _publish(
-        silver.dim_session(spark.table("silver.fact_events")), "silver.dim_session", root, version
+    rolled = tables.replace_bucketed(
+        rollup.session_rollup(spark.table("silver.fact_events")),
+        "silver.session_rollup",
+        root,
+        version,
+        rollup.BUCKET_KEY,
+        _bucket_count(spark, f"{root}/silver/fact_events/{version}"),
     )
+    _publish(silver.dim_session(rolled), "silver.dim_session", root, version)
     for name in layout.STATISTICS_COLUMNS:
         layout.analyze(spark, name)
 
@@ -73,6 +85,7 @@ def build_gold(
         spark.table("bronze.events"),
         spark.table("silver.fact_events"),
         spark.table("silver.dim_session"),
+        spark.table("silver.session_rollup"),
         **parameters,
     )
     with ThreadPoolExecutor(CONCURRENT_TABLES) as pool:

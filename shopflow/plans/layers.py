@@ -24,6 +24,7 @@ class Layers:
         bronze: DataFrame,
         fact: DataFrame | None = None,
         session: DataFrame | None = None,
+        rollup: DataFrame | None = None,
         *,
         anchor: str = ANCHOR_CATEGORY,
         mega: int = MEGA_CUTS,
@@ -36,6 +37,7 @@ class Layers:
         self.anchor = anchor
         self.mega, self.elevated, self.period = mega, elevated, period
         self.split_date, self.recency_anchor = split_date, recency_anchor
+        self.rollup = rollup
         if fact is not None:
             self.fact_events = fact
         if session is not None:
@@ -45,17 +47,22 @@ class Layers:
     def fact_events(self) -> DataFrame:
         return silver.fact_events(self.bronze_events)
 
+    @property
+    def events(self) -> DataFrame:
+        """What the summing operators read: the stored rollup if there is one."""
+        return self.fact_events if self.rollup is None else self.rollup
+
     @cached_property
     def dim_product(self) -> DataFrame:
         return silver.dim_product(self.bronze_events)
 
     @cached_property
     def dim_session(self) -> DataFrame:
-        return silver.dim_session(self.fact_events)
+        return silver.dim_session(self.events)
 
     @cached_property
     def daily_metrics(self) -> DataFrame:
-        return descriptive.daily_metrics(self.fact_events)
+        return descriptive.daily_metrics(self.events)
 
     @cached_property
     def funnel(self) -> DataFrame:
@@ -67,19 +74,19 @@ class Layers:
 
     @cached_property
     def category_performance(self) -> DataFrame:
-        return descriptive.category_performance(self.fact_events)
+        return descriptive.category_performance(self.events)
 
     @cached_property
     def brand_performance(self) -> DataFrame:
-        return descriptive.brand_performance(self.fact_events)
+        return descriptive.brand_performance(self.events)
 
     @cached_property
     def top_products(self) -> DataFrame:
-        return descriptive.top_products(self.fact_events)
+        return descriptive.top_products(self.events)
 
     @cached_property
     def user_summary(self) -> DataFrame:
-        return descriptive.user_summary(self.fact_events)
+        return descriptive.user_summary(self.events)
 
     @cached_property
     def hourly_pattern(self) -> DataFrame:
@@ -91,19 +98,19 @@ class Layers:
 
     @cached_property
     def intent_by_view_depth(self) -> DataFrame:
-        return diagnostic.intent_by_view_depth(self.fact_events)
+        return diagnostic.intent_by_view_depth(self.events)
 
     @cached_property
     def cart_conversion_by_price(self) -> DataFrame:
-        return diagnostic.cart_conversion_by_price(self.fact_events)
+        return diagnostic.cart_conversion_by_price(self.events)
 
     @cached_property
     def attach_opportunity(self) -> DataFrame:
-        return diagnostic.attach_opportunity(self.fact_events, self.anchor)
+        return diagnostic.attach_opportunity(self.events, self.anchor)
 
     @cached_property
     def price_change_effect(self) -> DataFrame:
-        return diagnostic.price_change_effect(self.fact_events)
+        return diagnostic.price_change_effect(self.events)
 
     @cached_property
     def category_recovery_check(self) -> DataFrame:
@@ -112,22 +119,22 @@ class Layers:
     @cached_property
     def discount_tier_analysis(self) -> DataFrame:
         return deep_dive.discount_tier_analysis(
-            self.fact_events, self.mega, self.elevated, self.period
+            self.events, self.mega, self.elevated, self.period
         )
 
     @cached_property
     def november_cohort_behavior(self) -> DataFrame:
-        return deep_dive.cohort_behavior(self.fact_events, self.split_date).withColumnRenamed(
+        return deep_dive.cohort_behavior(self.events, self.split_date).withColumnRenamed(
             "conversion_pct", "november_conversion_pct"
         )
 
     @cached_property
     def rfm_segmentation(self) -> DataFrame:
-        return deep_dive.rfm_segmentation(self.fact_events, self.recency_anchor)
+        return deep_dive.rfm_segmentation(self.events, self.recency_anchor)
 
     @cached_property
     def buyer_retention_oct_to_nov(self) -> DataFrame:
-        return deep_dive.buyer_retention(self.fact_events, self.split_date).withColumnsRenamed(
+        return deep_dive.buyer_retention(self.events, self.split_date).withColumnsRenamed(
             {"period_1_buyers": "october_buyers", "returned": "returned_in_november"}
         )
 

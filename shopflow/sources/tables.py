@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -39,6 +40,26 @@ def replace_table(table: DataFrame, name: str, root: str, version: str) -> DataF
     return spark.table(name)
 
 
+def replace_bucketed(
+    table: DataFrame, name: str, root: str, version: str, keys: Sequence[str], buckets: int
+) -> DataFrame:
+    """Full refresh of a table whose rows are stored by hash of ``keys``.
+
+    Joins and groupings that contain the keys read it without a shuffle.
+    """
+    spark = table.sparkSession
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the old version's files stay
+    (
+        table.repartition(buckets, *keys)
+        .write.mode("errorifexists")
+        .format("parquet")
+        .bucketBy(buckets, *keys)
+        .option("path", f"{root}/{name.replace('.', '/')}/{version}")
+        .saveAsTable(name)
+    )
+    return spark.table(name)
+
+
 def append(table: DataFrame, name: str) -> None:
     table.write.mode("append").insertInto(name)
 
