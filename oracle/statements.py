@@ -478,7 +478,7 @@ FROM (SELECT (SELECT count(*) FROM bronze) AS bronze_rows,
      OR TRY_CAST(price AS DOUBLE) IS NULL) AS rows_with_malformed_text,
   (SELECT count(*) FROM fact) AS fact_rows, (SELECT count(*) FROM sess) AS session_rows,
   (SELECT count(*) FROM product) AS product_rows)""",
-    "metric_values": _METRICS,
+    "metrics_snapshot": _METRICS,
     "previous_metrics": "SELECT * FROM previous",
     "metric_drift": f"""
 SELECT metric_name, p.value AS previous_value, c.value AS current_value,
@@ -541,7 +541,7 @@ SELECT run_id, started_at, ended_at,
 FROM (SELECT o_orderkey AS run_id, o_custkey, o_orderdate AS started_at,
              o_orderdate + to_seconds(CAST(floor(o_totalprice) AS BIGINT)) AS ended_at,
              o_orderstatus AS result_state, o_orderpriority AS termination_code FROM orders)
-JOIN customer ON c_custkey = o_custkey AND c_nationkey = o_custkey % 25
+JOIN customer ON c_custkey = o_custkey AND c_custkey // 100 = o_custkey // 100
 WHERE c_mktsegment = 'BUILDING' ORDER BY started_at DESC, run_id LIMIT 50""",
     "table_usage": """
 SELECT 'ecommerce.' || CASE WHEN event_type IN ('view', 'purchase') THEN 'gold' ELSE 'silver' END
@@ -583,6 +583,12 @@ SELECT {dbl(f"SUM({dec('revenue')})")} AS total_revenue, {whole("SUM(sessions)")
        {rounded(f"{dbl('SUM(CAST(conversion_rate_pct AS DECIMAL(12,2)))')} / count(*)", 2)}
          AS avg_conversion_pct
 FROM daily""",
+    "dash_totals_exact": f"""
+SELECT {dbl(SALES)} AS total_revenue, count(DISTINCT user_session) AS total_sessions,
+       count(DISTINCT user_id) AS total_users,
+       {pct(f"count(DISTINCT user_session) {BUYS}", "count(DISTINCT user_session)")}
+         AS conversion_pct
+FROM fact""",
     "dash_abandoned_total": f"""
 SELECT {dbl(f"SUM({dec('abandoned_cart_value')})")} AS abandoned_value FROM abandoned""",
     "booth_headline": f"""

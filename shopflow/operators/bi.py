@@ -8,7 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from ..fixed_values import BUYER_LAST, BUYER_STEPS, FUNNEL_STAGES, INTENT_LAST
-from ..functions.columns import UNKNOWN, below, from_units, mean_of_units, units
+from ..functions.columns import UNKNOWN, below, from_units, mean_of_units, pct, units
 
 
 def _top(table: DataFrame, n: int, by: str, tie: str) -> DataFrame:
@@ -109,6 +109,21 @@ def dash_totals(daily_metrics: DataFrame) -> DataFrame:
     )
 
 
+def dash_totals_exact(user_summary: DataFrame, dim_session: DataFrame) -> DataFrame:
+    """The same counters over the whole period: each user and session once, pooled conversion."""
+    users = user_summary.agg(F.count("user_id"))
+    return dim_session.agg(
+        from_units(F.sum(units("session_revenue"))).alias("total_revenue"),
+        F.count(F.lit(1)).alias("total_sessions"),
+        F.count_if("has_purchase").alias("buying"),
+    ).select(
+        "total_revenue",
+        "total_sessions",
+        users.scalar().alias("total_users"),
+        pct(F.col("buying"), F.col("total_sessions")).alias("conversion_pct"),
+    )
+
+
 def dash_abandoned_total(cart_abandonment: DataFrame) -> DataFrame:
     return cart_abandonment.agg(
         from_units(F.sum(units("abandoned_cart_value"))).alias("abandoned_value")

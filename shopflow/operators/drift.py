@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections import defaultdict
+from collections.abc import Callable, Iterable, Mapping
+from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
@@ -14,46 +16,64 @@ from ..functions.columns import from_units, units
 from ..schemas import METRICS_HISTORY
 
 Tables = Mapping[str, DataFrame]
-Metric = Callable[[Tables], DataFrame]
 
 
-def _scalar(table: DataFrame, value: Column) -> DataFrame:
-    return table.select(value.cast("double").alias("value"))
+@dataclass(frozen=True)
+class Metric:
+    """A named scalar: an aggregate over one table."""
+
+    table: str
+    value: Callable[[], Column]
 
 
 def _funnel(column: str) -> Metric:
-    return lambda t: _scalar(t["funnel"], F.col(column))
+    return Metric("funnel", lambda: F.max(column))
 
 
 def _quality(check: str) -> Metric:
-    return lambda t: _scalar(
-        t["data_quality"].where(F.col("check_name") == check), F.col("pct_affected")
+    return Metric(
+        "data_quality", lambda: F.max(F.when(F.col("check_name") == check, F.col("pct_affected")))
     )
 
 
+def _whole_amount(column: str) -> Column:
+    return F.round(from_units(F.sum(units(column))), 0)
+
+
 # the ten headline metrics
 METRICS: dict[str, Metric] = {
-    "bronze_row_count": lambda t: _scalar(t["bronze_events"], F.count(F.lit(1))),
+    "bronze_row_count": Metric("bronze_events", lambda: F.count(F.lit(1))),
     "view_to_cart_pct": _funnel("view_to_cart_pct"),
     "cart_to_purchase_pct": _funnel("cart_to_purchase_pct"),
     "view_to_purchase_pct": _funnel("view_to_purchase_pct"),
     "dq_purchase_without_cart_pct": _quality("purchase_without_cart"),
     "dq_missing_category_pct": _quality("missing_category_code"),
     "dq_missing_brand_pct": _quality("missing_brand"),
-    "total_revenue": lambda t: _scalar(t["daily_metrics"], F.round(from_units(F.sum(units("revenue"))), 0)),
-    "total_sessions": lambda t: _scalar(t["daily_metrics"], F.sum("sessions")),
-    "abandoned_cart_value": lambda t: _scalar(
-        t["cart_abandonment"], F.round(from_units(F.sum(units("abandoned_cart_value"))), 0)
+    "total_revenue": Metric("daily_metrics", lambda: _whole_amount("revenue")),
+    "total_sessions": Metric("daily_metrics", lambda: F.sum("sessions")),
+    "abandoned_cart_value": Metric(
+        "cart_abandonment", lambda: _whole_amount("abandoned_cart_value")
     ),
 }
 
 
+def _evaluate(table: DataFrame, metrics: Mapping[str, Metric], names: Iterable[str]) -> DataFrame:
+    """One pass over a table for all its metrics, one row per metric."""
+    row = table.agg(*(metrics[n].value().cast("double").alias(n) for n in names))
+    pairs = (F.struct(F.lit(n).alias("metric_name"), F.col(n).alias("value")) for n in names)
+    return row.select(F.inline(F.array(*pairs)))
+
+
+def _by_table(metrics: Mapping[str, Metric]) -> dict[str, list[str]]:
+    names = defaultdict(list)
+    for name, metric in metrics.items():
+        names[metric.table].append(name)
+    return names
+
+
 def metric_values(tables: Tables, metrics: Mapping[str, Metric] = METRICS) -> DataFrame:
-    """One row per metric, as one plan."""
-    rows = [
-        metric(tables).select(F.lit(name).alias("metric_name"), "value")
-        for name, metric in metrics.items()
-    ]
+    """One row per metric, as one plan that reads each table once."""
+    rows = [_evaluate(tables[t], metrics, names) for t, names in _by_table(metrics).items()]
     return reduce(DataFrame.unionByName, rows)
 
 
@@ -64,16 +84,23 @@ def metrics_snapshot(
     snapshot_ts: datetime,
     metrics: Mapping[str, Metric] = METRICS,
 ) -> DataFrame:
-    """History rows of one run. A metric that fails is recorded as NULL and the run goes on,
-    so each metric is evaluated by itself; only its single value reaches the driver."""
-    rows = []
-    for name, metric in metrics.items():
+    """History rows of one run. A metric that fails is recorded as NULL and the run goes on:
+    where a table's metrics cannot be had together, each is tried by itself. Only the scalar
+    values reach the driver."""
+    values: dict[str, float | None] = {}
+
+    def attempt(table: str, names: list[str]) -> None:
         try:
-            first = metric(tables).first()
-            value = first["value"] if first else None
+            for row in _evaluate(tables[table], metrics, names).collect():
+                values[row["metric_name"]] = row["value"]
         except (PySparkException, KeyError):
-            value = None
-        rows.append((name, value, snapshot_ts, run_id))
+            if len(names) > 1:
+                for name in names:
+                    attempt(table, [name])
+
+    for table, names in _by_table(metrics).items():
+        attempt(table, names)
+    rows = [(name, values.get(name), snapshot_ts, run_id) for name in metrics]
     return spark.createDataFrame(rows, METRICS_HISTORY)
 
 

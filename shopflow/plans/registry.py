@@ -196,7 +196,7 @@ QUERIES: dict[str, Query] = {
     "layer_reconciliation": _on(
         lambda t: quality.layer_reconciliation(t.bronze_events, t.fact_events, t.dim_session)
     ),
-    "metric_values": _on(drift.metric_values),
+    "metrics_snapshot": _on(drift.metric_values),
     "previous_metrics": _on(lambda t: drift.previous_metrics(_daily_history(t), LAST_RUN)),
     "metric_drift": _on(_drift),
     "alert_cart_gap": _alert(lambda t: alerts.cart_gap(t.data_quality)),
@@ -237,6 +237,7 @@ QUERIES: dict[str, Query] = {
     "dash_hourly": _on(lambda t: bi.dash_hourly(t.hourly_pattern)),
     "dash_top_products": _on(lambda t: bi.dash_top_products(t.top_products)),
     "dash_totals": _on(lambda t: bi.dash_totals(t.daily_metrics)),
+    "dash_totals_exact": _on(lambda t: bi.dash_totals_exact(t.user_summary, t.dim_session)),
     "dash_abandoned_total": _on(lambda t: bi.dash_abandoned_total(t.cart_abandonment)),
     "booth_headline": _on(
         lambda t: bi.booth_headline(

@@ -51,7 +51,7 @@ def shared_folder(spark: SparkSession) -> str:
     A machine-local folder is made only where the cluster names none and the
     session runs on one machine, as in tests.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):

@@ -3,7 +3,7 @@ tables, row for row, so that the platform reports have input that grows with the
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from ..session import prepare
 from .testdata import table
@@ -35,6 +35,10 @@ def query_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _workspace(customer: str) -> Column:
+    return F.floor(F.col(customer) / 100).alias("workspace_id")
+
+
 def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Orders as runs, lasting a second per unit of price."""
     prepare(spark)
@@ -42,7 +46,7 @@ def job_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("run_id"),
         F.col("o_custkey").alias("job_id"),
-        F.pmod(F.col("o_custkey"), F.lit(25)).cast("int").alias("workspace_id"),
+        _workspace("o_custkey"),
         began.alias("period_start_time"),
         F.timestamp_add("SECOND", F.floor("o_totalprice").cast("int"), began).alias("period_end_time"),
         F.col("o_orderstatus").alias("result_state"),
@@ -55,7 +59,7 @@ def jobs(spark: SparkSession, sf_dir: str) -> DataFrame:
     prepare(spark)
     return table(spark, sf_dir, "customer").select(
         F.col("c_custkey").alias("job_id"),
-        F.col("c_nationkey").alias("workspace_id"),
+        _workspace("c_custkey"),
         F.col("c_mktsegment").alias("name"),
     )
 

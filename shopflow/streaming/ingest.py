@@ -21,6 +21,8 @@ def ingest(
     max_files_per_batch: int | None = None,
 ) -> int:
     """Append all new ``root/<month>/*.csv`` files to ``target``; returns the rows added."""
+    # keep the progress of every batch of this run, so that the row count is complete
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000000")
     files = spark.readStream.schema(RAW_EVENTS).option("header", True)
     if max_files_per_batch:
         files = files.option("maxFilesPerTrigger", max_files_per_batch)

@@ -74,13 +74,11 @@ def test_previous_metrics_takes_the_latest_other_run(spark):
 def test_snapshot_survives_a_failing_metric(spark):
     good = spark.range(3)
     metrics = {
-        "rows": lambda t: t["good"].select(F.count("*").cast("double").alias("value")),
-        "no_table": lambda t: t["missing"],
-        "no_column": lambda t: t["good"].select(F.col("nope").alias("value")),
-        "fails": lambda t: t["good"].select(
-            F.raise_error(F.lit("boom")).cast("double").alias("value")
-        ),
-        "empty": lambda t: t["good"].where("id < 0").select(F.lit(1.0).alias("value")),
+        "rows": drift.Metric("good", lambda: F.count("*")),
+        "no_table": drift.Metric("missing", lambda: F.count("*")),
+        "no_column": drift.Metric("good", lambda: F.max("nope")),
+        "fails": drift.Metric("good", lambda: F.max(F.raise_error(F.lit("boom")).cast("int"))),
+        "empty": drift.Metric("good", lambda: F.max(F.when(F.col("id") < 0, 1))),
     }
     at = datetime(2024, 1, 1)
     got = rows(drift.metrics_snapshot(spark, {"good": good}, "r1", at, metrics))
