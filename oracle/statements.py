@@ -100,20 +100,20 @@ CTES["sess"] = f"""
   FROM fact GROUP BY user_session"""
 
 CTES["product"] = """
-  SELECT product_id, category_id, category_code,
+  SELECT TRY_CAST(product_id AS BIGINT) AS product_id,
+         TRY_CAST(category_id AS BIGINT) AS category_id, category_code,
          CASE WHEN category_code IS NULL OR category_code = '' THEN 'unknown'
               ELSE category_code END AS category_code_clean,
          string_split(category_code, '.')[1] AS category_l1,
          string_split(category_code, '.')[2] AS category_l2, brand,
-         CASE WHEN brand IS NULL OR brand = '' THEN 'unknown' ELSE brand END AS brand_clean, price
-  FROM (SELECT TRY_CAST(product_id AS BIGINT) AS product_id,
-               TRY_CAST(category_id AS BIGINT) AS category_id, category_code, brand,
-               TRY_CAST(price AS DOUBLE) AS price, event_time
-        FROM bronze)
-  WHERE product_id IS NOT NULL
-  QUALIFY row_number() OVER (PARTITION BY product_id ORDER BY event_time DESC NULLS LAST,
-    category_id DESC NULLS LAST, category_code DESC NULLS LAST, brand DESC NULLS LAST,
-    price DESC NULLS LAST) = 1"""
+         CASE WHEN brand IS NULL OR brand = '' THEN 'unknown' ELSE brand END AS brand_clean,
+         TRY_CAST(price AS DOUBLE) AS price
+  FROM bronze
+  WHERE TRY_CAST(product_id AS BIGINT) IS NOT NULL
+  QUALIFY row_number() OVER (PARTITION BY TRY_CAST(product_id AS BIGINT)
+    ORDER BY bronze.event_time DESC NULLS LAST, bronze.category_id DESC NULLS LAST,
+    bronze.category_code DESC NULLS LAST, bronze.brand DESC NULLS LAST,
+    bronze.price DESC NULLS LAST) = 1"""
 
 CTES["daily"] = f"""
   SELECT event_date, count(DISTINCT user_id) AS unique_users,

@@ -50,39 +50,35 @@ def fact_events(bronze: DataFrame) -> DataFrame:
 
 
 def dim_product(bronze: DataFrame) -> DataFrame:
-    """Newest attributes per product.
+    """Newest attributes per product (ties: the greatest attribute texts).
 
-    Rows are first folded to distinct attribute sets with a hash aggregate whose only
-    buffer is a timestamp; that leaves a few rows per product, from which the newest
-    is taken (ties: the greatest attribute values). A best-selling product therefore
-    never puts its raw rows into one task, and the raw rows are never sorted.
+    A maximum over (time, attributes) keeps one row per product and map task before the
+    shuffle, so a best-selling product never puts its rows into one task. Attributes stay
+    text until then: only the surviving rows are cast.
     """
-    attributes = ["category_id", "category_code", "brand", "price"]
-    seen = (
+    attributes = ("category_id", "category_code", "brand", "price")
+    newest = (
         bronze.select(
             F.col("product_id").try_cast("bigint").alias("product_id"),
-            F.col("category_id").try_cast("decimal(30,0)").alias("category_id"),
-            "category_code",
-            "brand",
-            F.col("price").try_cast("double").alias("price"),
-            F.col("event_time").try_cast("timestamp").alias("event_time"),
+            F.struct(
+                F.col("event_time").try_cast("timestamp").alias("seen"), *attributes
+            ).alias("row"),
         )
         .where(F.col("product_id").isNotNull())
-        .groupBy("product_id", *attributes)
-        .agg(F.max("event_time").alias("last_seen"))
+        .groupBy("product_id")
+        .agg(F.max("row").alias("row"))
     )
-    newest = seen.groupBy("product_id").agg(F.max(F.struct("last_seen", *attributes)).alias("newest"))
-    level = F.split("newest.category_code", r"\.")
+    level = F.split("row.category_code", r"\.")
     return newest.select(
         "product_id",
-        "newest.category_id",
-        "newest.category_code",
-        or_unknown("newest.category_code").alias("category_code_clean"),
+        F.col("row.category_id").try_cast("decimal(30,0)").alias("category_id"),
+        "row.category_code",
+        or_unknown("row.category_code").alias("category_code_clean"),
         F.get(level, F.lit(0)).alias("category_l1"),
         F.get(level, F.lit(1)).alias("category_l2"),
-        "newest.brand",
-        or_unknown("newest.brand").alias("brand_clean"),
-        "newest.price",
+        "row.brand",
+        or_unknown("row.brand").alias("brand_clean"),
+        F.col("row.price").try_cast("double").alias("price"),
     )
 
 
