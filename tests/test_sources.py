@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import shutil
+
 from pyspark.sql import functions as F
 
 from shopflow.schemas import BRONZE_EVENTS, METRICS_HISTORY, RAW_COLUMNS
@@ -42,6 +44,17 @@ def test_ingest_is_incremental_and_idempotent(spark, tmp_path):
     assert direct.exceptAll(loaded).count() == 0 and direct.count() == 6
 
 
+def test_files_of_a_failed_attempt_are_not_read(spark, tmp_path):
+    target = tmp_path / "bronze"
+    deliver(tmp_path / "raw", "2019-Oct", "a.csv", LINE, LINE)
+    ingest(spark, str(tmp_path / "raw"), str(target), str(tmp_path / "ledger"))
+    written = next(target.glob("*.parquet"))
+    shutil.copy(written, target / "part-stray.parquet")
+    tables.create_databases(spark)
+    table = tables.create_table(spark, "bronze.stray_test", BRONZE_EVENTS, str(target))
+    assert table.count() == bronze_events(spark, str(target)).count() == 2
+
+
 def test_read_takes_one_level_of_folders(spark, tmp_path):
     deliver(tmp_path, "2019-Oct", "a.csv", LINE)
     deliver(tmp_path, "2019-Oct/deeper", "b.csv", LINE)
