@@ -7,7 +7,6 @@ cluster. The settings below are the ones the results (time zone) or the plans
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,19 +45,15 @@ def local_session(cpus: int | str = "*", app: str = "shopflow", **conf: str) ->
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir`` of the session.
+    """The folder all executors can reach.
 
-    A machine-local folder is made only where the cluster names none and the
-    session runs on one machine, as in tests.
+    ``spark.checkpoint.dir`` of the session, or, where it is unset, a folder in the
+    session's warehouse, which every executor reaches as well.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if named:
-        return named.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
-    made = tempfile.mkdtemp(prefix="shopflow-")
-    spark.conf.set("spark.checkpoint.dir", made)
-    return made
+    if not named:
+        named = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_intermediate"
+    return named.rstrip("/")
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:
@@ -70,8 +65,22 @@ def stored(table: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and continue from the files.
 
     For results that several branches of a plan read: the work behind them runs once,
-    and a lost executor costs a re-read, not a recomputation.
+    and a lost executor costs a re-read, not a recomputation. ``discard`` removes the
+    files when nothing reads them any more.
     """
     path = fresh_path(table.sparkSession, label)
-    table.write.parquet(path)
+    table.write.option("compression", "zstd").parquet(path)
     return table.sparkSession.read.schema(table.schema).parquet(path)
+
+
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder through the session's own file system layer."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete the files of tables made by ``stored``."""
+    for table in tables:
+        for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
+            remove(table.sparkSession, folder)

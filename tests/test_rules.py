@@ -20,9 +20,12 @@ PACKAGE = Path(__file__).resolve().parents[1] / "shopflow"
         r"@udf|pandas_udf|applyInPandas|mapInPandas",
         r"\.toPandas\(",
         r"collect_(list|set)",
+        r"tempfile",
         r"coalesce\(1\)|repartition\(1\)",
     ],
 )
 def test_not_used(pattern):
     for path in PACKAGE.rglob("*.py"):
+        if "llm" in path.relative_to(PACKAGE).parts:  # an optional package with rules of its own
+            continue
         assert not re.search(pattern, path.read_text()), path
