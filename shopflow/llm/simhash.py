@@ -163,7 +163,9 @@ def edges(fps: DataFrame, max_bits: int = 2, segments: int = SEGMENTS) -> DataFr
 
     if max_bits != 2:  # the two-bit shortcut below does not hold: all groups the plain way
         return grouped.groupBy("start", "chain").applyInPandas(within, "a long, b long")
-    small = grouped.where(F.col("members") <= GROUP_LIMIT)
+    # comparing is work, not bytes: adaptive execution would merge the groups into few tasks
+    tasks = int(fps.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    small = grouped.where(F.col("members") <= GROUP_LIMIT).repartition(tasks, "start", "chain")
     paired = small.groupBy("start", "chain").applyInPandas(within, "a long, b long")
 
     flips = [F.lit(0).cast("long"), *(F.lit(signed(1 << b)) for b in range(64))]
