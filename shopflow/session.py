@@ -7,6 +7,7 @@ cluster. The settings below are the ones the results (time zone) or the plans
 
 from __future__ import annotations
 
+import gc
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -84,3 +85,13 @@ def discard(*tables: DataFrame) -> None:
     for table in tables:
         for folder in {name.rsplit("/", 1)[0] for name in table.inputFiles()}:
             remove(table.sparkSession, folder)
+
+
+def release(spark: SparkSession) -> None:
+    """Let Spark drop the shuffle files of frames nothing refers to any more.
+
+    Spark removes them after the driver's next garbage collection, which a long job on a
+    quiet driver can wait for; this asks for it.
+    """
+    gc.collect()
+    spark._jvm.System.gc()
