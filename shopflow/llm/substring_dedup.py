@@ -26,7 +26,7 @@ are settled by a hash of their words, before segments are made.
 
 **Edge rows.** NULL text: no words. Fewer words than a window: nothing goes. A NULL doc_id
 is larger than all others: such a row loses what any document with an id holds and takes
-nothing from others. Rows under one doc_id take nothing from each other; every row has a
+nothing from others (so does the largest possible id, which stands for NULL inside). Rows under one doc_id take nothing from each other; every row has a
 result of its own. Other columns are not read.
 """
 
@@ -40,9 +40,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from shopflow.session import stored
-
-from .texts import row_key
+from shopflow.session import discard, release, stored
 
 WINDOW = 50
 ANCHOR = 10
@@ -51,8 +49,13 @@ SHARD_SEGMENTS = 1500
 CACHE_ENTRIES = 500_000
 NOBODY = (1 << 63) - 1  # stands for a NULL doc_id: smaller than no document
 
-ROWS = "doc_id long, row_key string, n_words long, sha string, anchors array<struct<anchor:long,first:int,last:int>>"
-SEGMENTS = "anchor long, segment string, first int, doc_id long, row_key string"
+# a row is known by ``me``, its doc_id or NOBODY, and ``text_key``, a hash of its text
+KEY = ["me", "text_key"]
+ROWS = (
+    "doc_id long, me long, text_key long, n_words long, sha string, "
+    "anchors array<struct<anchor:long,first:int,last:int>>"
+)
+SEGMENTS = "anchor long, segment string, first int, me long, text_key long"
 
 
 class _Hashes(dict):
@@ -123,42 +126,28 @@ def _scan(docs: DataFrame) -> DataFrame:
             )
             yield pa.RecordBatch.from_arrays(
                 [
-                    batch.column("doc_id"),
-                    batch.column("row_key"),
+                    *(batch.column(c) for c in ("doc_id", *KEY)),
                     pa.array(counts, pa.int64()),
                     pa.array(shas, pa.string()),
                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), entries),
                 ],
-                names=["doc_id", "row_key", "n_words", "sha", "anchors"],
+                names=["doc_id", *KEY, "n_words", "sha", "anchors"],
             )
 
     return docs.mapInArrow(run, ROWS)
 
 
-def _two_documents() -> list:
-    """Aggregates that tell whether rows belong to at least two documents."""
-    return [
-        F.min("doc_id").alias("low"),
-        F.max("doc_id").alias("high"),
-        F.count("doc_id").alias("named"),
-        F.count(F.lit(1)).alias("all"),
-    ]
-
-
-SHARED = "low < high or (named > 0 and named < all)"
-
-
 def _segments(shared: DataFrame) -> DataFrame:
     """Segments of the documents around anchors that other documents have as well."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = batch.select(["doc_id", "row_key", "runs"]).to_pydict()
+            columns = batch.select([*KEY, "runs"]).to_pydict()
             made = []
-            for found, doc_id, key, runs in zip(_words(batch), *columns.values()):
+            for found, me, key, runs in zip(_words(batch), *columns.values()):
                 for r in runs:
                     text = b" ".join(found[r["first"] : r["last"] + WINDOW - 1])
-                    made.append((r["anchor"], text, r["first"], doc_id, key))
+                    made.append((r["anchor"], text, r["first"], me, key))
             yield _segment_batch(made)
 
     return shared.mapInArrow(run, SEGMENTS)
@@ -173,9 +162,9 @@ def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
             segment,
             pa.array(columns[2], pa.int32()),
             pa.array(columns[3], pa.int64()),
-            pa.array(columns[4], pa.string()),
+            pa.array(columns[4], pa.int64()),
         ],
-        names=["anchor", "segment", "first", "doc_id", "row_key"],
+        names=["anchor", "segment", "first", *KEY],
     )
 
 
@@ -184,13 +173,13 @@ def _cut_again(segments: DataFrame, size: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = batch.select(["anchor", "first", "doc_id", "row_key"]).to_pydict()
+            columns = batch.select(["anchor", "first", *KEY]).to_pydict()
             made = []
-            for found, anchor, first, doc_id, key in zip(_words(batch, "segment"), *columns.values()):
+            for found, anchor, first, me, key in zip(_words(batch, "segment"), *columns.values()):
                 for h, low, high in zip(*anchors(_hashed(found), size, WINDOW)):
                     mixed = (int(h) ^ (anchor * 0x9E3779B97F4A7C15)) & ((1 << 64) - 1)
                     text = b" ".join(found[low : high + WINDOW - 1])
-                    made.append((mixed - (1 << 63), text, first + int(low), doc_id, key))
+                    made.append((mixed - (1 << 63), text, first + int(low), me, key))
             yield _segment_batch(made)
 
     return segments.mapInArrow(run, SEGMENTS)
@@ -300,28 +289,30 @@ def _judge(table: pa.Table) -> pa.Table:
 
 
 def _spans(segments: DataFrame) -> DataFrame:
-    """(row_key, first, last) runs of windows to remove, of the rows of ``segments``."""
+    """(me, text_key, first, last) runs of windows to remove, of the rows of ``segments``."""
     parts = []
     for finer in (*FINER, None):
-        known = F.coalesce("doc_id", F.lit(NOBODY))
         distinct = stored(
-            segments.groupBy("anchor", "segment").agg(F.min(known).alias("owner")), "substring-distinct"
+            segments.groupBy("anchor", "segment").agg(F.min("me").alias("owner")), "substring-distinct"
         )
+        release(segments.sparkSession)
         hot = distinct.groupBy("anchor").count().where(F.col("count") > SHARD_SEGMENTS).select("anchor")
         last = finer is None or hot.isEmpty()
         usual = segments if last else segments.join(hot, "anchor", "left_anti")
         reference = distinct if last else distinct.join(hot, "anchor", "left_anti")
         shards = max(1, -(-reference.count() // SHARD_SEGMENTS))
-        shard = F.pmod(F.xxhash64("anchor"), F.lit(shards))
-        judged = reference.select("segment", "owner", shard.alias("shard")).groupBy("shard").applyInArrow(_judge, FOUND)
-        places = usual.select("doc_id", "row_key", "first", F.unhex(F.md5("segment")).alias("segment_key"))
-        run = F.explode("runs").alias("run")
+        shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
+        # building automata is work, not bytes: adaptive execution would merge the shards
+        tasks = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        dealt = reference.select("segment", "owner", shard).repartition(max(tasks, min(shards, 4 * tasks)), "shard")
+        judged = dealt.groupBy("shard").applyInArrow(_judge, FOUND)
+        places = usual.select(*KEY, "first", F.unhex(F.md5("segment")).alias("segment_key"))
         parts.append(
             places.join(judged, "segment_key")
-            .select(F.coalesce("doc_id", F.lit(NOBODY)).alias("me"), "row_key", "first", run)
+            .select(*KEY, "first", F.explode("runs").alias("run"))
             .where("run.owner < me")
             .select(
-                "row_key",
+                *KEY,
                 (F.col("first") + F.col("run.at")).alias("first"),
                 (F.col("first") + F.col("run.at") + F.col("run.windows")).alias("last"),
             )
@@ -332,7 +323,7 @@ def _spans(segments: DataFrame) -> DataFrame:
     spans = parts[0]
     for part in parts[1:]:
         spans = spans.union(part)
-    return spans
+    return spans.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
 
 
 def _keep(texts: DataFrame) -> DataFrame:
@@ -349,40 +340,52 @@ def _keep(texts: DataFrame) -> DataFrame:
                 removed.append(len(found) - len(kept))
                 shas.append(hashlib.sha256(b" ".join(kept)).hexdigest())
             yield pa.RecordBatch.from_arrays(
-                [batch.column("row_key"), pa.array(removed, pa.int64()), pa.array(shas, pa.string())],
-                names=["row_key", "gone", "sha_left"],
+                [*(batch.column(c) for c in KEY), pa.array(removed, pa.int64()), pa.array(shas, pa.string())],
+                names=[*KEY, "gone", "sha_left"],
             )
 
-    return texts.mapInArrow(run, "row_key string, gone long, sha_left string")
+    return texts.mapInArrow(run, "me long, text_key long, gone long, sha_left string")
+
+
+def _marked(rows: DataFrame) -> DataFrame:
+    """The rows, and whether they are copies, word for word, of a smaller document."""
+    least = rows.where(F.col("n_words") >= WINDOW).groupBy("sha").agg(F.min("me").alias("low"), F.max("me").alias("high"))
+    equal = least.where("low < high").select("sha", F.col("low").alias("first_doc"))
+    copy = F.coalesce(F.col("me") > F.col("first_doc"), F.lit(False))
+    return rows.join(equal, "sha", "left").withColumn("is_copy", copy)
+
+
+def _affected(slim: DataFrame, marked: DataFrame) -> DataFrame:
+    """Texts that have anchors in common with others, and where."""
+    runs = marked.where(~F.col("is_copy")).select(*KEY, F.inline("anchors"))
+    both = runs.groupBy("anchor").agg(F.min("me").alias("low"), F.max("me").alias("high"))
+    shared = both.where("low < high").select("anchor")
+    runs = runs.withColumn("place", F.struct("anchor", "first", "last"))
+    by_row = runs.join(shared, "anchor").groupBy(*KEY).agg(F.collect_set("place").alias("runs"))
+    return stored(slim.select(*KEY, "text").join(by_row, KEY), "substring-affected")
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
     """(doc_id, n_words, n_removed, kept_sha256) of every row of ``docs``."""
-    slim = docs.select(F.col("doc_id").cast("long"), "text", row_key().alias("row_key"))
-    rows = stored(_scan(slim), "substring-rows")
-
-    # whole texts that are equal, word for word: the smallest doc_id stands for all
-    equal = rows.where(F.col("n_words") >= WINDOW).groupBy("sha").agg(*_two_documents()).where(SHARED)
-    equal = stored(equal.select("sha", F.col("low").alias("first_doc")), "substring-equal")
-    marked = rows.join(equal, "sha", "left")
-    copy = F.col("first_doc").isNotNull() & (F.col("doc_id").isNull() | (F.col("doc_id") > F.col("first_doc")))
-    marked = marked.withColumn("is_copy", copy)
-
-    runs = marked.where(~F.col("is_copy")).select("doc_id", "row_key", F.inline("anchors")).distinct()
-    shared = runs.groupBy("anchor").agg(*_two_documents()).where(SHARED).select("anchor")
-    by_row = (
-        runs.join(shared, "anchor")
-        .groupBy("row_key")
-        .agg(F.collect_list(F.struct("anchor", "first", "last")).alias("runs"))
+    spark = docs.sparkSession
+    doc_id = F.col("doc_id").cast("long")
+    slim = docs.select(
+        doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(NOBODY)).alias("me"), F.xxhash64("text").alias("text_key"), "text"
     )
-    affected = stored(slim.dropDuplicates(["row_key"]).join(by_row, "row_key"), "substring-affected")
-    spans = _spans(stored(_segments(affected), "substring-segments"))
-    spans = spans.groupBy("row_key").agg(F.collect_set(F.struct("first", "last")).alias("runs"))
-    left = _keep(affected.select("row_key", "text").join(spans, "row_key"))
+    rows = stored(_scan(slim), "substring-rows")
+    affected = _affected(slim, _marked(rows))
+    release(spark)
+    segments = stored(_segments(affected), "substring-segments")
+    spans = stored(_spans(segments), "substring-spans")
+    discard(segments)
+    release(spark)
+    # rows wholly equal in id and text have equal results: one of them is enough
+    left = stored(_keep(affected.join(spans, KEY)).distinct(), "substring-left")
+    discard(affected, spans)
 
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     none = F.lit(0).cast("long")
-    return marked.join(left, "row_key", "left").select(
+    return _marked(rows.drop("anchors")).join(left, KEY, "left").select(
         "doc_id",
         "n_words",
         F.when(F.col("is_copy"), F.col("n_words")).otherwise(F.coalesce("gone", none)).alias("n_removed"),
