@@ -380,7 +380,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     discard(segments)
     release(spark)
     # rows wholly equal in id and text have equal results: one of them is enough
-    left = stored(_keep(affected.join(spans, KEY)).distinct(), "substring-left")
+    left = stored(_keep(affected.drop("runs").join(spans, KEY)).distinct(), "substring-left")
     discard(affected, spans)
 
     empty = F.lit(hashlib.sha256(b"").hexdigest())
