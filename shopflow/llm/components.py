@@ -4,7 +4,8 @@ Each round rewires every node to the smallest node it knows of (first its larger
 neighbours, then its smaller ones) until the edges are stars around the component's
 smallest node. A round is two grouped minima, which Spark combines before its shuffles,
 and two equi joins whose large side adaptive execution may split, so a hub with a third of
-all edges is no single task's work. Rounds are stored in the shared folder.
+all edges is no single task's work: the minima are stored first, so that the joins have
+plain inputs. Rounds are stored in the shared folder.
 """
 
 from __future__ import annotations
@@ -16,13 +17,13 @@ from shopflow.session import discard, stored
 
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    least = both.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(both.groupBy("a").agg(F.min("b").alias("m")), "components-least")
     joined = both.join(least, "a").where("b > a")
     return joined.select(F.col("b").alias("a"), F.least("a", "m").alias("b")).distinct()
 
 
 def _small_star(edges: DataFrame) -> DataFrame:
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = stored(edges.groupBy("a").agg(F.min("b").alias("m")), "components-least")
     rewired = edges.join(least, "a").where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return rewired.union(least.select("a", F.col("m").alias("b"))).distinct()
 

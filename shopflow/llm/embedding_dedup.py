@@ -212,7 +212,9 @@ def _blocks(visits: DataFrame) -> DataFrame:
         F.count_if(~F.col("visitor")).alias("residents"),
         F.count(F.lit(1)).alias("rows"),
     )
-    sized = visits.join(sizes.where("residents > 0 and rows > 1"), cell)
+    # stored, so that the join below has plain inputs and a hot cell can be split
+    sizes = stored(sizes.where("residents > 0 and rows > 1"), "embedding-cells")
+    sized = visits.join(sizes, cell)
     home = F.pmod(F.xxhash64("node"), F.col("homes")).cast("int")
     queue = F.pmod(F.xxhash64("node", F.lit(1)), F.greatest("queues", F.lit(1))).cast("int")
     all_homes = F.sequence(F.lit(0), F.col("homes") - 1)

@@ -148,6 +148,7 @@ def edges(fps: DataFrame, max_bits: int = 2, segments: int = SEGMENTS) -> DataFr
         keys.append(F.struct(F.lit(start).alias("start"), chain.alias("chain")))
     keyed = fps.select("fp", "node", F.explode(F.array(*keys)).alias("k")).select("k.*", "fp", "node")
     sizes = keyed.groupBy("start", "chain").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
+    sizes = stored(sizes, "simhash-sizes")  # the join's large groups can then be split
     grouped = stored(keyed.join(sizes, ["start", "chain"]), "simhash-chains")
 
     def within(group: pd.DataFrame) -> pd.DataFrame:

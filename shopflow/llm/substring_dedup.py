@@ -359,7 +359,8 @@ def _affected(slim: DataFrame, marked: DataFrame) -> DataFrame:
     """Texts that have anchors in common with others, and where."""
     runs = marked.where(~F.col("is_copy")).select(*KEY, F.inline("anchors"))
     both = runs.groupBy("anchor").agg(F.min("me").alias("low"), F.max("me").alias("high"))
-    shared = both.where("low < high").select("anchor")
+    # stored, so that the join below has plain inputs and a very common anchor can be split
+    shared = stored(both.where("low < high").select("anchor"), "substring-shared")
     runs = runs.withColumn("place", F.struct("anchor", "first", "last"))
     by_row = runs.join(shared, "anchor").groupBy(*KEY).agg(F.collect_set("place").alias("runs"))
     return stored(slim.select(*KEY, "text").join(by_row, KEY), "substring-affected")
