@@ -1,25 +1,58 @@
-"""Token ids of whole texts with a public tokenizer file, one cache of words per worker.
-
-Both supported files cut a text at white space before they merge anything, so a text's ids
-are the ids of its pieces, one after the other. Most pieces were seen before: their ids come
-from a dictionary of bounded size. New pieces are encoded together, in one call. The result
-equals ``Tokenizer.encode(text, add_special_tokens=False)`` for every text.
+"""Token ids of whole texts with a public tokenizer file, one cache of pieces per worker.
+
+Both supported files cut a text before they merge anything: at white space, and between a
+word and a full stop or comma that ends it. So a text's ids are the ids of its pieces, one
+after the other, and most pieces were seen before: their ids come from a dictionary of
+bounded size. A new word of Latin letters is a single unit for the tokenizer's model and
+goes to it directly; any other new piece is encoded as a text. The result equals
+``Tokenizer.encode(text, add_special_tokens=False)`` for every text.
 """
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
 
-CACHE_ENTRIES = 600_000
+CACHE_ENTRIES = 1_000_000
 LONGEST_CACHED = 48
 END = 1
 
 # Unicode White_Space, as the tokenizers' own patterns understand \s
 _SPACE = r"\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_ENDINGS = ".,"
-_LETTERS = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ")
+_LETTER = r"A-Za-z\xc0-\xd6\xd8-\xf6\xf8-\xff"
+_WORD = f"[{_LETTER}]+(?=[{_SPACE}.,]|\\Z)"
+_STOPS = f"[.,]+(?=[{_SPACE}]|\\Z)"
+_IS_WORD = re.compile(f" ?[{_LETTER}]+")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The visible characters by which byte-level models write bytes: a printable Latin-1
+    character stands for itself, the others follow from 256 on, in order."""
+    shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in shown]
+    return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+class _Pieces(dict):
+    """Packed ids by piece, in two generations; a piece in use moves to the younger one."""
+
+    def __init__(self, make) -> None:
+        super().__init__()
+        self.make = make
+        self.older: dict[str, bytes] = {}
+
+    def __missing__(self, piece: str) -> bytes:
+        ids = self.older.get(piece)
+        if ids is None:
+            ids = self.make(piece)
+        if len(piece) <= LONGEST_CACHED:
+            if len(self) >= CACHE_ENTRIES // 2:
+                self.older = dict(self)
+                self.clear()
+            self[piece] = ids
+        return ids
 
 
 class Encoder:
@@ -29,70 +62,35 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.model = self.tokenizer.model
         size = self.tokenizer.get_vocab_size()
         self.dtype = np.dtype("<u2" if size <= 1 << 16 else "<u4")
-        self.end = np.array([END], self.dtype).tobytes()
-        self.cache: dict[str, bytes] = {}  # two generations: a piece in use moves to the first
-        self.older: dict[str, bytes] = {}
-        kept = self._ids("a b") != self._ids("a  b")  # does white space become tokens?
-        if kept:
-            # a piece: one space at most and what follows, or a run of white space
-            self.pieces = re.compile(f" ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
-            self.mark, self.apart = "\n", "\n"
+        self.end = self._packed([END])
+        self.letters = _byte_letters()
+        if self._ids("a b") != self._ids("a  b"):  # white space becomes tokens
+            self.pieces = re.compile(f" ?{_WORD}|{_STOPS}| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
         else:
-            self.pieces = re.compile(f"[^{_SPACE}]+")
-            self.mark, self.apart = "\x01", " \x01 "
-        marks = self._ids(self.mark)
-        self.mark_id = marks[0] if len(marks) == 1 else None
-        self.endings = {c: self._packed(self._ids(c)) for c in _ENDINGS}
+            self.pieces = re.compile(f"{_WORD}|{_STOPS}|[^{_SPACE}]+")
+        self.lower = self._ids("AB") == self._ids("ab")
+        self.cache = _Pieces(self._make)
 
     def _ids(self, text: str) -> list[int]:
         return self.tokenizer.encode(text, add_special_tokens=False).ids
 
-    def _packed(self, ids) -> bytes:
-        return np.asarray(ids, self.dtype).tobytes()
-
-    def _encode(self, pieces: list[str]) -> list[bytes]:
-        """Each piece's ids, from one call where the marks between them come back."""
-        if self.mark_id is not None and len(pieces) > 1:
-            joined = self.tokenizer.encode_batch_fast(
-                [self.apart.join(pieces)], add_special_tokens=False
-            )
-            ids = np.array(joined[0].ids, np.int64)
-            at = np.flatnonzero(ids == self.mark_id)
-            if len(at) == len(pieces) - 1:
-                packed = ids.astype(self.dtype)
-                return [part.tobytes() for part in np.split(np.delete(packed, at), at - np.arange(len(at)))]
-        made = self.tokenizer.encode_batch(pieces, add_special_tokens=False)
-        return [self._packed(e.ids) for e in made]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Put the ids of unseen short pieces into the cache."""
-        # a full stop or comma after a letter is always a token apart
-        ended = {p for p in pieces if p[-1] in _ENDINGS and len(p) > 1 and p[-2] in _LETTERS}
-        new = list((pieces - ended) | {p[:-1] for p in ended if p[:-1] not in self.cache})
-        for at in range(0, len(new), 20_000):
-            some = new[at : at + 20_000]
-            self.cache.update(zip(some, self._encode(some)))
-        self.cache.update((p, self.cache[p[:-1]] + self.endings[p[-1]]) for p in ended)
+    def _packed(self, ids: list[int]) -> bytes:
+        return np.array(ids, self.dtype).tobytes()
+
+    def _make(self, piece: str) -> bytes:
+        if _IS_WORD.fullmatch(piece):
+            word = piece.lower() if self.lower else piece
+            shown = word.encode().decode("latin-1").translate(self.letters)
+            return self._packed([t.id for t in self.model.tokenize(shown)])
+        return self._packed(self._ids(piece))
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The packed ids of each text, with the end id after them."""
-        cut = [self.pieces.findall(text) for text in texts]
-        if len(self.cache) > CACHE_ENTRIES // 2:
-            self.cache, self.older = {}, self.cache
-        cache, older = self.cache, self.older
-        new = {p for pieces in cut for p in pieces if p not in cache}
-        again = [p for p in new if p in older]
-        cache.update((p, older[p]) for p in again)
-        new.difference_update(again)
-        plain = {p for p in new if len(p) <= LONGEST_CACHED and self.mark not in p}
-        self._learn(plain)
-        get = cache.__getitem__
-        rest = {p: self._packed(self._ids(p)) for p in new - plain}
-        if rest:  # long pieces and those with the mark are not worth their place in the cache
-            get = lambda p: rest[p] if p in rest else cache[p]
-        return [b"".join(map(get, pieces)) + self.end for pieces in cut]
+        get, find, end = self.cache.__getitem__, self.pieces.findall, self.end
+        return [b"".join(map(get, find(text))) + end for text in texts]
 
 
 _ENCODERS: dict[str, Encoder] = {}
@@ -100,8 +98,6 @@ _ENCODERS: dict[str, Encoder] = {}
 
 def encoder(path: str) -> Encoder:
     """The worker's encoder for a file; it stays for the worker's later tasks."""
-    import os
-
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     if path not in _ENCODERS:
         _ENCODERS[path] = Encoder(path)
