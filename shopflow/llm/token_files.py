@@ -37,7 +37,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from shopflow.session import fresh_path
+from shopflow.session import fresh_path, stored
 
 from .tokens import encoder
 
@@ -50,6 +50,32 @@ _BLOCK_HEAD = struct.Struct("<IBH")
 CHUNKS = "part int, first long, n_ids long, doc_ids array<long>, lengths array<int>, payload binary"
 
 
+def _container(width: int) -> np.dtype:
+    """The smallest unsigned type with ``width`` bits."""
+    return np.dtype("<u1" if width <= 8 else "<u2" if width <= 16 else "<u4")
+
+
+def _packed_bits(values: np.ndarray, width: int) -> np.ndarray:
+    """The low ``width`` bits of every value, one row of bytes per row of values."""
+    kind = _container(width)
+    raw = values.astype(kind).view(np.uint8)  # the cast keeps the low bits
+    if width == 8 * kind.itemsize:
+        return raw
+    bits = np.unpackbits(raw, axis=1, bitorder="little").reshape(len(values), BLOCK, -1)
+    return np.packbits(bits[:, :, :width].reshape(len(values), -1), axis=1, bitorder="little")
+
+
+def _unpacked_bits(packed: np.ndarray, width: int) -> np.ndarray:
+    """The values of ``_packed_bits``."""
+    kind = _container(width)
+    if width == 8 * kind.itemsize:
+        return np.ascontiguousarray(packed).view(kind)
+    bits = np.zeros((len(packed), BLOCK, 8 * kind.itemsize), np.uint8)
+    if width:
+        bits[:, :, :width] = np.unpackbits(packed, axis=1, bitorder="little").reshape(-1, BLOCK, width)
+    return np.packbits(bits.reshape(len(packed), -1), axis=1, bitorder="little").view(kind)
+
+
 def pack(ids: np.ndarray) -> bytes:
     """The payload for a sequence of ids."""
     n = len(ids)
@@ -61,14 +87,14 @@ def pack(ids: np.ndarray) -> bytes:
     grid = padded.reshape(blocks, BLOCK)
     least = grid.min(axis=1) if blocks else np.zeros(0, np.uint32)
     away = grid - least[:, None]
-    typical = np.sort(away, axis=1)[:, (BLOCK - 1) * PERCENTILE // 100] if blocks else least
+    at = (BLOCK - 1) * PERCENTILE // 100
+    typical = np.partition(away, at, axis=1)[:, at] if blocks else least
     width = np.ceil(np.log2(typical.astype(np.float64) + 1)).astype(np.int64)
     made: list[bytes] = [b""] * blocks
     for w in np.unique(width).tolist():
         chosen = np.flatnonzero(width == w)
         some = away[chosen]
-        bits = (some[:, :, None] >> np.arange(w, dtype=np.uint32)) & np.uint32(1)
-        low = np.packbits(bits.astype(np.uint8).reshape(len(chosen), -1), axis=1, bitorder="little")
+        low = _packed_bits(some, w)
         high = (some.astype(np.uint64) >> np.uint64(w)).astype(np.uint32)
         for i, block in enumerate(chosen.tolist()):
             at = np.flatnonzero(high[i])
@@ -116,11 +142,7 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
         rows = np.array([i for i, _ in found])
         size = width * BLOCK // 8
         packed = whole[np.array([at for _, at in found])[:, None] + np.arange(size)]
-        bits = np.unpackbits(packed, axis=1, bitorder="little").reshape(len(rows), BLOCK, width)
-        value = np.zeros((len(rows), BLOCK), np.uint32)
-        for b in range(width):
-            value |= bits[:, :, b].astype(np.uint32) << np.uint32(b)
-        out[rows] = value
+        out[rows] = _unpacked_bits(packed, width)
     for i, width, at, high_part in patches:
         out[i, at] |= (high_part.astype(np.uint64) << np.uint64(width)).astype(np.uint32)
     out += least[:, None]
@@ -168,7 +190,7 @@ def write(docs: DataFrame, tokenizer: str, path: str) -> None:
     ordered = (
         docs.select(F.col("doc_id").cast("long"), "text")
         .repartitionByRange(F.asc_nulls_first("doc_id"))
-        .sortWithinPartitions(F.asc_nulls_first("doc_id"), F.md5(F.col("text")))
+        .sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
     )
     ordered.mapInArrow(encode, CHUNKS).write.parquet(path)
 
@@ -180,6 +202,8 @@ def read(spark: SparkSession, path: str) -> DataFrame:
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = parts.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
 
+    offsets = stored(offsets, "token-offsets")  # tiny: the chunks need no shuffle to meet it
+
     def decode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
