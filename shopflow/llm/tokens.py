@@ -83,7 +83,10 @@ class Encoder:
     def _make(self, piece: str) -> bytes:
         if _IS_WORD.fullmatch(piece):
             word = piece.lower() if self.lower else piece
-            shown = word.encode().decode("latin-1").translate(self.letters)
+            if word.isascii():  # only a space in front is written another way
+                shown = self.letters[32] + word[1:] if word[0] == " " else word
+            else:
+                shown = word.encode().decode("latin-1").translate(self.letters)
             return self._packed([t.id for t in self.model.tokenize(shown)])
         return self._packed(self._ids(piece))
 
