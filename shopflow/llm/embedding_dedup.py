@@ -18,6 +18,9 @@ most ``BLOCK`` and ``VISITORS`` rows, so a cell that holds a third of all rows i
 tasks' work; a block compares by one matrix product and gives back link counts and the
 edges of a spanning forest, never its pairs. Components are found on the edges.
 
+More codewords mean fewer comparisons and more visits; a visit costs some hundred times a
+comparison, so the codebooks grow slower than the square root of the vectors.
+
 Codebooks are fitted on at most ``SAMPLE_PER_WORD * MOST_WORDS`` vectors, the first in hash
 order; their size, and so what every task receives, is bounded by ``MOST_WORDS``. All
 vectors are indexed, and the bound holds whatever the codebooks are.
@@ -171,7 +174,7 @@ def _compare(threshold: float):
     def run(table: pa.Table) -> pa.Table:
         role = table.column("role").to_numpy()
         node, many = table.column("node").to_numpy(), table.column("many").to_numpy()
-        vectors = np.array(table.column("vector").to_pylist(), np.float64).reshape(len(role), -1)
+        vectors = table.column("vector").combine_chunks().flatten().to_numpy().reshape(len(role), -1)
         home = np.flatnonzero(role == 0)
         others = np.flatnonzero(role == 1)
         inside = bool(table.column("inside")[0].as_py())
@@ -180,18 +183,17 @@ def _compare(threshold: float):
         if inside:
             linked[np.arange(len(home)), np.arange(len(home))] = False
         counts = np.zeros(len(role), np.int64)
-        counts[home] += linked.astype(np.int64) @ many[right]
-        counts[others] += many[home] @ linked[:, len(right) - len(others) :].astype(np.int64)
+        i, j = np.nonzero(linked)
+        np.add.at(counts, home[i], many[right[j]])
+        foreign = j >= len(right) - len(others)
+        np.add.at(counts, right[j[foreign]], many[home[i[foreign]]])
         # components of the block's links, by spreading minima
         name = np.arange(len(role))
-        while True:
+        while len(i):
             before = name.copy()
-            if linked.size:
-                low = np.where(linked, name[right][None, :], len(role)).min(axis=1)
-                name[home] = np.minimum(name[home], low)
-                low = np.where(linked, name[home][:, None], len(role)).min(axis=0)
-                np.minimum.at(name, right, low)
-                name = name[name]
+            np.minimum.at(name, home[i], name[right[j]])
+            np.minimum.at(name, right[j], name[home[i]])
+            name = name[name]
             if (name == before).all():
                 break
         root = node[name]
@@ -260,7 +262,7 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
     )
     shape = nodes.agg(F.max("size"), F.count(F.lit(1))).first()
     width, total = shape[0] or 1, shape[1]
-    words = int(min(MOST_WORDS, max(1, np.sqrt(total / 16))))
+    words = int(min(MOST_WORDS, max(4, (total / 1000) ** 0.54)))
     sample = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE_PER_WORD * words).select("vector").toArrow()
     half = width // 2
     if len(sample):
