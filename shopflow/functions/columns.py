@@ -20,27 +20,27 @@ def or_unknown(column: str | Column) -> Column:
     return F.when(is_blank(c), F.lit(UNKNOWN)).otherwise(c)
 
 
-# Amounts are summed as whole ten-thousandths of the currency unit. A sum of doubles
-# depends on the order in which partitions arrive, so a retried task could change the last
-# digits of a report; integers do not, and they add without allocating as decimals do.
-# A total beyond 9 * 10**14 currency units fails the job (ANSI overflow), it never wraps.
-UNITS = 10_000
+# Amounts are summed as decimals. A sum of doubles depends on the order in which partitions
+# arrive, so a retried task could change the last digits of a report. Ten digits after the
+# point are kept of every row, more than money or usage prices have; an amount of 10**18 or
+# more, or a total of 10**28, fails the job (ANSI overflow), it never turns into NULL.
+AMOUNT = "decimal(28,10)"
 
 
 def units(column: str | Column) -> Column:
-    """An amount as an exact integer."""
+    """An amount as an exact number, ready to be summed."""
     c = F.col(column) if isinstance(column, str) else column
-    return F.rint(c * UNITS).try_cast("bigint")
+    return c.cast(AMOUNT)
 
 
 def units_where(condition: Column, column: str | Column = "price") -> Column:
-    """The units of qualifying rows and 0 for the others, ready to be summed."""
-    return F.when(condition, units(column)).otherwise(F.lit(0).cast("bigint"))
+    """The exact amounts of qualifying rows and 0 for the others, ready to be summed."""
+    return F.when(condition, units(column)).otherwise(F.lit(0).cast(AMOUNT))
 
 
 def from_units(total: Column) -> Column:
     """The amount as double."""
-    return total.cast("double") / float(UNITS)
+    return total.cast("double")
 
 
 def is_event(event_type: str) -> Column:

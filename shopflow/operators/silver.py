@@ -20,6 +20,11 @@ def accepted() -> Column:
     )
 
 
+def _finite(value: Column) -> Column:
+    """NULL for NaN and infinities, which text can spell but no sum can hold."""
+    return F.when(F.abs(value) < float("inf"), value)
+
+
 def typed_events(bronze: DataFrame) -> DataFrame:
     """Accepted bronze rows with the fact's types, repeats still included.
 
@@ -34,7 +39,7 @@ def typed_events(bronze: DataFrame) -> DataFrame:
         F.col("category_id").try_cast("decimal(30,0)").alias("category_id"),
         "category_code",
         or_unknown("brand").alias("brand"),
-        F.col("price").try_cast("double").alias("price"),
+        _finite(F.col("price").try_cast("double")).alias("price"),
         F.col("user_id").try_cast("bigint").alias("user_id"),
         "user_session",
     )

@@ -55,9 +55,10 @@ def build_bronze(spark: SparkSession, raw: str, root: str) -> int:
 
 
 def _bucket_count(spark: SparkSession, path: str) -> int:
-    """Buckets of about a file's size, and at least one per core."""
+    """Buckets of about a file's size, at least one per core, at most what Spark allows."""
     files = layout.file_count(layout.stored_bytes(spark, path))
-    return max(files, spark.sparkContext.defaultParallelism)
+    most = int(spark.conf.get("spark.sql.sources.bucketing.maxBuckets"))
+    return min(most, max(files, spark.sparkContext.defaultParallelism))
 
 
 def build_silver(spark: SparkSession, root: str, version: str) -> None:

@@ -48,15 +48,18 @@ def replace_bucketed(
     Joins and groupings that contain the keys read it without a shuffle.
     """
     spark = table.sparkSession
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the old version's files stay
+    coming = f"{name}__next"  # readers keep the old version until the new one is complete
+    spark.sql(f"DROP TABLE IF EXISTS {coming}")
     (
         table.repartition(buckets, *keys)
         .write.mode("errorifexists")
         .format("parquet")
         .bucketBy(buckets, *keys)
         .option("path", f"{root}/{name.replace('.', '/')}/{version}")
-        .saveAsTable(name)
+        .saveAsTable(coming)
     )
+    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the old version's files stay
+    spark.sql(f"ALTER TABLE {coming} RENAME TO {name}")
     return spark.table(name)
 
 

@@ -23,7 +23,12 @@ def ingest(
     """Append all new ``root/<month>/*.csv`` files to ``target``; returns the rows added."""
     # keep the progress of every batch of this run, so that the row count is complete
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "1000000")
-    files = spark.readStream.schema(RAW_EVENTS).option("header", True)
+    files = (
+        spark.readStream.schema(RAW_EVENTS)
+        .option("header", True)
+        .option("enforceSchema", False)  # a header with other columns fails, it is not ignored
+        .option("pathGlobFilter", "*.csv")
+    )
     if max_files_per_batch:
         files = files.option("maxFilesPerTrigger", max_files_per_batch)
     query = (
