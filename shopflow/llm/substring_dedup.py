@@ -296,7 +296,9 @@ def _spans(segments: DataFrame) -> DataFrame:
             segments.groupBy("anchor", "segment").agg(F.min("me").alias("owner")), "substring-distinct"
         )
         release(segments.sparkSession)
+        # stored, so that the joins below have plain inputs and a hot anchor can be split
         hot = distinct.groupBy("anchor").count().where(F.col("count") > SHARD_SEGMENTS).select("anchor")
+        hot = stored(hot, "substring-hot")
         last = finer is None or hot.isEmpty()
         usual = segments if last else segments.join(hot, "anchor", "left_anti")
         reference = distinct if last else distinct.join(hot, "anchor", "left_anti")
