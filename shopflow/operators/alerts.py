@@ -66,11 +66,17 @@ def unlabeled_category(data_quality: DataFrame, limit: float = UNLABELED_LIMIT)
     )
 
 
-def standard_rules(tables: Mapping[str, DataFrame], as_of: str) -> list[Rule]:
+def standard_rules(
+    tables: Mapping[str, DataFrame],
+    as_of: str,
+    cart_gap_limit: float = CART_GAP_LIMIT,
+    stale_hours_limit: float = STALE_HOURS_LIMIT,
+    unlabeled_limit: float = UNLABELED_LIMIT,
+) -> list[Rule]:
     return [
-        cart_gap(tables["data_quality"]),
-        stale_gold(tables["daily_metrics"], as_of),
-        unlabeled_category(tables["data_quality"]),
+        cart_gap(tables["data_quality"], cart_gap_limit),
+        stale_gold(tables["daily_metrics"], as_of, stale_hours_limit),
+        unlabeled_category(tables["data_quality"], unlabeled_limit),
     ]
 
 

@@ -93,7 +93,8 @@ def cart_abandonment(fact: DataFrame, dim_session: DataFrame) -> DataFrame:
 
     An item counts once per (day, session, user, product, price). Every session of the
     fact is in ``dim_session``, so dropping the few sessions that bought equals keeping
-    the many that did not, and shuffles far less.
+    the many that did not, and shuffles far less. Sessions and users are counted in two
+    rollups of what is left, so no row is multiplied for the two distinct counts.
     """
     carted = (
         fact.where(is_event("cart"))
@@ -101,15 +102,29 @@ def cart_abandonment(fact: DataFrame, dim_session: DataFrame) -> DataFrame:
         .distinct()
     )
     buyers = dim_session.where("has_purchase").select("user_session")
-    return (
+    lost = (
         carted.join(buyers, "user_session", "left_anti")
+        .groupBy("event_date", "user_session", "user_id")
+        .agg(F.sum(units("price")).alias("value"))
+    )
+    by_session = (
+        lost.groupBy("event_date", "user_session")
+        .agg(F.sum("value").alias("value"))
         .groupBy("event_date")
         .agg(
-            F.count_distinct("user_session").alias("abandoned_sessions"),
-            F.count_distinct("user_id").alias("affected_users"),
-            from_units(F.sum(units("price"))).alias("abandoned_cart_value"),
+            F.count("user_session").alias("abandoned_sessions"),
+            from_units(F.sum("value")).alias("abandoned_cart_value"),
         )
     )
+    by_user = (
+        lost.select(F.col("event_date").alias("day"), "user_id")
+        .distinct()
+        .groupBy("day")
+        .agg(F.count("user_id").alias("affected_users"))
+    )
+    return by_session.join(by_user, F.col("event_date").eqNullSafe(F.col("day"))).select(
+        "event_date", "abandoned_sessions", "affected_users", "abandoned_cart_value"
+    )
 
 
 def _by_pair(events: DataFrame, label: Column, name: str) -> DataFrame:

@@ -275,6 +275,7 @@ def attach_uplift(
         attach_opportunity(events, anchor)
         .orderBy(F.desc("sessions"), "attached_category")
         .limit(1)
+        .select(F.struct("attached_category", "avg_price").alias("best"))
     )
     overall = attach_rate_overall(events, anchor)
     extra = F.greatest(
@@ -283,10 +284,16 @@ def attach_uplift(
     return overall.select(
         "anchor_sessions",
         "attached_sessions",
-        best.select("attached_category").scalar().alias("attached_category"),
-        best.select("avg_price").scalar().alias("avg_price"),
+        best.scalar().alias("best"),  # one subquery: the category is looked for once
         F.round(extra, 0).alias("extra_sessions"),
-    ).withColumn("uplift_value", F.round(F.col("extra_sessions") * F.col("avg_price"), 2))
+    ).select(
+        "anchor_sessions",
+        "attached_sessions",
+        "best.attached_category",
+        "best.avg_price",
+        "extra_sessions",
+        F.round(F.col("extra_sessions") * F.col("best.avg_price"), 2).alias("uplift_value"),
+    )
 
 
 def recovery_sizing(

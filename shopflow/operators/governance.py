@@ -52,6 +52,11 @@ def comment_on_table(spark: SparkSession, name: str) -> None:
         spark.sql(f"COMMENT ON TABLE {name} IS '{text}'")
 
 
+def comment_on_database(spark: SparkSession, name: str) -> None:
+    text = DATABASE_COMMENTS[name].replace("'", r"\'")
+    spark.sql(f"COMMENT ON DATABASE {name} IS '{text}'")
+
+
 def column_tags(spark: SparkSession) -> DataFrame:
     rows = [
         (CATALOG, *place, tag, value)

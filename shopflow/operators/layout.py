@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+FACT_KEYS = ("event_date", "product_id")
 
 STATISTICS_COLUMNS = {
     "silver.fact_events": (
@@ -36,7 +37,7 @@ def file_count(size: int, target: int = TARGET_FILE_BYTES) -> int:
 
 def clustered(
     table: DataFrame,
-    keys: Sequence[str] = ("event_date", "product_id"),
+    keys: Sequence[str] = FACT_KEYS,
     files: int | None = None,
 ) -> DataFrame:
     """Rows ordered for data skipping: ranges of the keys across files, sorted within.
@@ -52,10 +53,21 @@ def clustered(
     return spread.sortWithinPartitions(*order)
 
 
-def compact(spark: SparkSession, source: str, target: str, target_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Rewrite many small Parquet files as few large ones under a new path."""
+def compact(
+    spark: SparkSession,
+    source: str,
+    target: str,
+    keys: Sequence[str] = (),
+    target_bytes: int = TARGET_FILE_BYTES,
+) -> int:
+    """Rewrite many small Parquet files as few large ones under a new path.
+
+    With ``keys``, the new files hold ranges of them again, so a clustered table stays so.
+    """
     files = file_count(stored_bytes(spark, source), target_bytes)
-    spark.read.parquet(source).repartition(files).write.mode("errorifexists").parquet(target)
+    rows = spark.read.parquet(source)
+    dealt = clustered(rows, keys, files) if keys else rows.repartition(files)
+    dealt.write.mode("errorifexists").parquet(target)
     return files
 
 

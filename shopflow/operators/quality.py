@@ -75,7 +75,9 @@ _CASTS = {
 }
 
 
-def layer_reconciliation(bronze: DataFrame, fact: DataFrame, dim_session: DataFrame) -> DataFrame:
+def layer_reconciliation(
+    bronze: DataFrame, fact: DataFrame, dim_session: DataFrame, dim_product: DataFrame
+) -> DataFrame:
     """Where rows go between layers: filtered, unparsable, duplicate, and what each grain keeps."""
     no_key = F.col("event_time").isNull() | F.col("user_session").isNull()
     known = F.coalesce(F.col("event_type").isin(*EVENT_TYPES), F.lit(False))
@@ -90,9 +92,7 @@ def layer_reconciliation(bronze: DataFrame, fact: DataFrame, dim_session: DataFr
         F.count_if(~no_key & known).alias("accepted_rows"),
         F.count_if(malformed).alias("rows_with_malformed_text"),
     )
-    products = bronze.select(F.col("product_id").try_cast("bigint").alias("p")).agg(
-        F.count_distinct("p")
-    )
+    products = dim_product.agg(F.count(F.lit(1)))
     facts = fact.agg(F.count(F.lit(1)))
     sessions = dim_session.agg(F.count(F.lit(1)))
     return raw.select(

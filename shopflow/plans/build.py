@@ -2,17 +2,19 @@
 
 Every layer is written before the next one reads it, so each later query scans only the
 columns it needs of a finished table. Tables are replaced as new versions; a failed run
-leaves the previous ones in place and can simply be started again.
+leaves the previous ones in place and can simply be started again, under the same id: every
+attempt writes its own versions, and the metric history keeps one set of rows per run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import uuid
+from collections.abc import Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from ..operators import alerts, drift, governance, integrity, layout, quality, rollup, silver
 from ..schemas import BRONZE_EVENTS, METRICS_HISTORY
@@ -64,7 +66,9 @@ def _bucket_count(spark: SparkSession, path: str) -> int:
 def build_silver(spark: SparkSession, root: str, version: str) -> None:
     bronze = spark.table("bronze.events")
     fact = integrity.enforce_domain(silver.fact_events(bronze))
-    _publish(layout.clustered(fact), "silver.fact_events", root, version)
+    files = layout.file_count(layout.stored_bytes(spark, f"{root}/bronze/events"))
+    files = max(files, spark.sparkContext.defaultParallelism)
+    _publish(layout.clustered(fact, files=files), "silver.fact_events", root, version)
     _publish(silver.dim_product(bronze), "silver.dim_product", root, version)
     rolled = tables.replace_bucketed(
         rollup.session_rollup(spark.table("silver.fact_events")),
@@ -100,20 +104,40 @@ def gold_tables(spark: SparkSession) -> dict[str, DataFrame]:
     }
 
 
+def build_governance(spark: SparkSession, root: str, version: str) -> None:
+    """Schema comments, the tags as tables, and the inventory of personal data as a view."""
+    for name in tables.DATABASES:
+        governance.comment_on_database(spark, name)
+    tags = _publish(governance.column_tags(spark), "ops.column_tags", root, version)
+    _publish(governance.table_tags(spark), "ops.table_tags", root, version)
+    tables.create_view(governance.pii_inventory(tags), "pii_inventory")
+
+
 def record_drift(
-    spark: SparkSession, root: str, run_id: str, at: datetime, threshold: float
+    spark: SparkSession,
+    root: str,
+    run_id: str,
+    at: datetime,
+    threshold: float,
+    version: str,
+    metrics: Mapping[str, drift.Metric] = drift.METRICS,
 ) -> DataFrame:
     """Append this run's metrics to the history and compare with the run before.
 
-    The previous values are read before the current ones are appended.
+    The previous values are read before the current ones are appended. Rows that an earlier
+    attempt of this run left are replaced.
     """
     history = tables.create_table(
         spark, "ops.metrics_history", METRICS_HISTORY, f"{root}/ops/metrics_history"
     )
     rows = drift.previous_metrics(history, run_id).collect()  # one row per metric
     previous = spark.createDataFrame(rows, "metric_name string, value double")
-    current = drift.metrics_snapshot(spark, gold_tables(spark), run_id, at)
-    tables.append(current, "ops.metrics_history")
+    current = drift.metrics_snapshot(spark, gold_tables(spark), run_id, at, metrics)
+    if history.where(F.col("run_id") == run_id).isEmpty():
+        tables.append(current, "ops.metrics_history")
+    else:
+        others = history.where(~F.col("run_id").eqNullSafe(run_id))
+        tables.replace_table(others.unionByName(current), "ops.metrics_history", root, version)
     return drift.metric_drift(current, previous, threshold)
 
 
@@ -139,15 +163,21 @@ def build_all(
     run_id: str,
     at: datetime,
     drift_threshold: float = drift.DRIFT_THRESHOLD_PCT,
+    metrics: Mapping[str, drift.Metric] = drift.METRICS,
+    alert_limits: Mapping[str, float] | None = None,
     **parameters,
 ) -> Run:
-    """One full run. ``run_id`` names the table versions and must be new."""
+    """One full run. ``run_id`` names it in the metric history; a failed run is repeated under
+    its id. ``metrics`` are recorded and compared; ``alert_limits`` are limits of
+    ``alerts.standard_rules`` by name."""
     prepare(spark)
+    version = f"{run_id}-{uuid.uuid4().hex[:8]}"
     tables.create_databases(spark)
     added = build_bronze(spark, raw, root)
-    build_silver(spark, root, run_id)
-    build_gold(spark, root, run_id, **parameters)
-    moved = record_drift(spark, root, run_id, at, drift_threshold)
+    build_silver(spark, root, version)
+    build_gold(spark, root, version, **parameters)
+    build_governance(spark, root, version)
+    moved = record_drift(spark, root, run_id, at, drift_threshold, version, metrics)
     gold = gold_tables(spark)
     return Run(
         rows_ingested=added,
@@ -156,9 +186,10 @@ def build_all(
             gold["bronze_events"],
             spark.table("silver.fact_events"),
             spark.table("silver.dim_session"),
+            spark.table("silver.dim_product"),
         ),
         drift=moved,
         alerts=alerts.evaluate_alerts(
-            alerts.standard_rules(gold, at.date().isoformat())
+            alerts.standard_rules(gold, at.date().isoformat(), **(alert_limits or {}))
         ),
     )

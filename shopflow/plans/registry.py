@@ -154,8 +154,8 @@ def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     small, large = fresh_path(spark, "small"), fresh_path(spark, "large")
-    layers(spark, sf_dir).fact_events.repartition(32).write.parquet(small)
-    layout.compact(spark, small, large)
+    layout.clustered(layers(spark, sf_dir).fact_events).write.parquet(small)
+    layout.compact(spark, small, large, layout.FACT_KEYS)
     return _with_plain_ids(spark.read.parquet(large))
 
 
@@ -194,7 +194,9 @@ QUERIES: dict[str, Query] = {
     # quality, drift, alerts
     "data_quality": _on(lambda t: t.data_quality),
     "layer_reconciliation": _on(
-        lambda t: quality.layer_reconciliation(t.bronze_events, t.fact_events, t.dim_session)
+        lambda t: quality.layer_reconciliation(
+            t.bronze_events, t.fact_events, t.dim_session, t.dim_product
+        )
     ),
     "metrics_snapshot": _on(drift.metric_values),
     "previous_metrics": _on(lambda t: drift.previous_metrics(_daily_history(t), LAST_RUN)),

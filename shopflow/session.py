@@ -19,6 +19,8 @@ SESSION_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # the stored column statistics are used
+    "spark.sql.cbo.enabled": "true",
 }
 
 

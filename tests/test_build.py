@@ -7,7 +7,7 @@ from datetime import datetime
 import pytest
 from pyspark.sql import functions as F
 
-from shopflow.operators import descriptive, layout
+from shopflow.operators import descriptive, drift, layout
 from shopflow.plans.build import build_all
 from shopflow.plans.layers import GOLD
 from shopflow.sources.raw_csv import read_raw, write_raw
@@ -91,6 +91,49 @@ def test_comments_and_statistics_are_stored(spark, runs):
     assert stats["distinct_count"] == "3"
 
 
+def test_tags_comments_and_inventory_are_stored(spark, runs):
+    assert spark.table("pii_inventory").count() > 0
+    tagged = spark.table("ops.column_tags").where("tag_name = 'pii'")
+    assert spark.table("pii_inventory").count() == tagged.count()
+    assert spark.table("ops.table_tags").count() > 0
+    described = spark.sql("DESCRIBE DATABASE gold").collect()
+    assert {r["info_name"]: r["info_value"] for r in described}["Comment"]
+
+
+def test_compaction_keeps_the_ranges_apart(spark, runs, tmp_path):
+    fact = spark.table("silver.fact_events")
+    small, large = str(tmp_path / "small"), str(tmp_path / "large")
+    layout.clustered(fact, files=16).write.parquet(small)
+    size = layout.stored_bytes(spark, small)
+    files = layout.compact(spark, small, large, layout.FACT_KEYS, target_bytes=size // 3)
+    assert 3 <= files < 16
+    ranges = (
+        spark.read.parquet(large)
+        .groupBy(F.col("_metadata.file_path").alias("file"))
+        .agg(F.min("event_date").alias("lo"), F.max("event_date").alias("hi"))
+        .orderBy("lo", "hi")
+        .collect()
+    )
+    assert len(ranges) > 1
+    assert all(a["hi"] <= b["lo"] for a, b in zip(ranges, ranges[1:]))
+
+
+def test_a_run_can_be_repeated_with_other_metrics_and_limits(spark, runs):
+    raw, _, second = runs
+    root = raw.rsplit("/", 1)[0]
+    metrics = {**drift.METRICS, "days": drift.Metric("daily_metrics", lambda: F.count(F.lit(1)))}
+    again = build_all(
+        spark, raw, f"{root}/out", "r2", datetime(2024, 2, 1),
+        metrics=metrics, alert_limits={"stale_hours_limit": 1000.0}, **PARAMETERS,
+    )
+    assert again.rows_ingested == 0
+    alerts = {r["alert_name"]: r for r in again.alerts.collect()}
+    assert not alerts["stale_gold"]["breached"]
+    history = spark.table("ops.metrics_history")
+    assert history.count() == 21 and history.where("run_id = 'r2'").count() == 11
+    assert "days" in {r["metric_name"] for r in again.drift.collect()}
+
+
 def test_clustered_fact_keeps_dates_together(spark, runs):
     parts = (
         layout.clustered(spark.table("silver.fact_events"), files=4)

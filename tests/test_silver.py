@@ -138,7 +138,7 @@ def test_reconciliation_adds_up(spark):
         {"product_id": "x"},
     )
     events = silver.fact_events(raw)
-    got = one(quality.layer_reconciliation(raw, events, silver.dim_session(events)))
+    got = one(quality.layer_reconciliation(raw, events, silver.dim_session(events), silver.dim_product(raw)))
     assert got["bronze_rows"] == 8
     assert got["rows_without_key"] == 2
     assert got["rows_other_event_type"] == 2
