@@ -452,6 +452,13 @@ SELECT CASE WHEN u.first_date < DATE '{q.COHORT_SPLIT}' THEN {text(fv.COHORT_RET
 FROM fact f JOIN (SELECT user_id, min(event_date) AS first_date FROM fact GROUP BY user_id) u
   USING (user_id)
 WHERE f.event_date >= DATE '{q.COHORT_SPLIT}' GROUP BY 1""",
+    "rfm_scores": """
+SELECT user_id, recency_days, frequency, monetary, CAST(recency_score AS INTEGER) AS recency_score,
+       CAST(ntile(4) OVER (ORDER BY frequency, substr(md5(CAST(user_id AS VARCHAR)), 1, 3), user_id)
+         AS INTEGER) AS frequency_score,
+       CAST(ntile(4) OVER (ORDER BY monetary, substr(md5(CAST(user_id AS VARCHAR)), 1, 3), user_id)
+         AS INTEGER) AS monetary_score
+FROM (SELECT * REPLACE (CAST(monetary AS DOUBLE) AS monetary) FROM scored)""",
     "rfm_segmentation": f"""
 SELECT CAST(recency_score AS INTEGER) AS recency_score, count(*) AS buyers,
        {rounded("avg(recency_days)", 1)} AS avg_recency_days,

@@ -156,6 +156,21 @@ def buyer_recency(events: DataFrame, anchor_date: str = RECENCY_ANCHOR) -> DataF
     )
 
 
+def rfm_scores(events: DataFrame, anchor_date: str = RECENCY_ANCHOR, n: int = 4) -> DataFrame:
+    """Recency, frequency and spend score of every buyer, from 1 to n (n = best)."""
+    scored = stored(buyer_recency(events, anchor_date), "buyers")
+    for column, name in (
+        ("recency_days", "recency_score"),
+        ("frequency", "frequency_score"),
+        ("monetary", "monetary_score"),
+    ):
+        # group 1 has the greatest values: the longest absence, but not the most sessions
+        by = F.col(column) if column == "recency_days" else -F.col(column)
+        ranked = distributed_ntile(scored.withColumn("_by", by), "_by", "user_id", n, name)
+        scored = stored(ranked.drop("_by"), f"buyers-{name}")
+    return scored
+
+
 def rfm_segmentation(
     events: DataFrame, anchor_date: str = RECENCY_ANCHOR, n: int = 4
 ) -> DataFrame:

@@ -190,6 +190,7 @@ QUERIES: dict[str, Query] = {
     "discount_tier_analysis": _on(lambda t: t.discount_tier_analysis),
     "cohort_behavior": _on(lambda t: deep_dive.cohort_behavior(t.fact_events, COHORT_SPLIT)),
     "rfm_segmentation": _on(lambda t: t.rfm_segmentation),
+    "rfm_scores": _on(lambda t: deep_dive.rfm_scores(t.fact_events, RECENCY)),
     "buyer_retention": _on(lambda t: deep_dive.buyer_retention(t.fact_events, RETENTION_SPLIT)),
     # quality, drift, alerts
     "data_quality": _on(lambda t: t.data_quality),

@@ -240,3 +240,17 @@ def test_distributed_ntile_equals_ntile(spark):
     got = distributed_ntile(table, "v", "id", 7, "b").select("id", "b").collect()
     assert {r["id"]: r["b"] for r in got} == {r["id"]: r["b"] for r in want}
     assert max(r["b"] for r in got) == 7
+
+
+def test_distributed_ntile_ranks_fractions(spark):
+    """Values that differ only after the point, NaN and infinity, over several ranges."""
+    values = [i / 1000 for i in range(500)] + [0.25] * 200 + [float("nan"), float("inf"), None, -0.5]
+    table = spark.createDataFrame(list(enumerate(values)), "id bigint, v double")
+    table.createOrReplaceTempView("fractions")
+    want = spark.sql(
+        "SELECT id, ntile(5) OVER (ORDER BY v DESC NULLS LAST,"
+        " substring(md5(cast(id AS string)), 1, 3), id) AS b FROM fractions"
+    ).collect()
+    got = distributed_ntile(table, "v", "id", 5, "b").select("id", "b").collect()
+    assert len(got) == len(values)
+    assert {r["id"]: r["b"] for r in got} == {r["id"]: r["b"] for r in want}
