@@ -349,10 +349,15 @@ def _keep(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "me long, text_key long, gone long, sha_left string")
 
 
-def _marked(rows: DataFrame) -> DataFrame:
-    """The rows, and whether they are copies, word for word, of a smaller document."""
+def _copied(rows: DataFrame) -> DataFrame:
+    """(sha, first_doc) of the word sequences that several documents have."""
     least = rows.where(F.col("n_words") >= WINDOW).groupBy("sha").agg(F.min("me").alias("low"), F.max("me").alias("high"))
-    equal = least.where("low < high").select("sha", F.col("low").alias("first_doc"))
+    # stored, so that the joins with it have plain inputs and a large group of copies can be split
+    return stored(least.where("low < high").select("sha", F.col("low").alias("first_doc")), "substring-copied")
+
+
+def _marked(rows: DataFrame, equal: DataFrame) -> DataFrame:
+    """The rows, and whether they are copies, word for word, of a smaller document."""
     copy = F.coalesce(F.col("me") > F.col("first_doc"), F.lit(False))
     return rows.join(equal, "sha", "left").withColumn("is_copy", copy)
 
@@ -365,7 +370,10 @@ def _affected(slim: DataFrame, marked: DataFrame) -> DataFrame:
     shared = stored(both.where("low < high").select("anchor"), "substring-shared")
     runs = runs.withColumn("place", F.struct("anchor", "first", "last"))
     by_row = runs.join(shared, "anchor").groupBy(*KEY).agg(F.collect_set("place").alias("runs"))
-    return stored(slim.select(*KEY, "text").join(by_row, KEY), "substring-affected")
+    by_row = stored(by_row, "substring-places")  # rows repeated very often can be split below
+    affected = stored(slim.select(*KEY, "text").join(by_row, KEY), "substring-affected")
+    discard(shared, by_row)
+    return affected
 
 
 def remove_repeats(docs: DataFrame) -> DataFrame:
@@ -376,7 +384,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
         doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(NOBODY)).alias("me"), F.xxhash64("text").alias("text_key"), "text"
     )
     rows = stored(_scan(slim), "substring-rows")
-    affected = _affected(slim, _marked(rows))
+    copied = _copied(rows)
+    affected = _affected(slim, _marked(rows, copied))
     release(spark)
     segments = stored(_segments(affected), "substring-segments")
     spans = stored(_spans(segments), "substring-spans")
@@ -388,7 +397,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     none = F.lit(0).cast("long")
-    return _marked(rows.drop("anchors")).join(left, KEY, "left").select(
+    return _marked(rows.drop("anchors"), copied).join(left, KEY, "left").select(
         "doc_id",
         "n_words",
         F.when(F.col("is_copy"), F.col("n_words")).otherwise(F.coalesce("gone", none)).alias("n_removed"),
