@@ -7,8 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    conversation_repair,
     curve_shards,
     embedding_dedup,
+    fill_middle,
     license_scan,
     mixing,
     packing,
@@ -70,6 +72,14 @@ def op10_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_repair.repair_report(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fill_middle.digests(documents(spark, sf_dir))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -83,6 +93,8 @@ QUERIES: dict[str, Query] = {
         op8_quality_rules,
         op9_sequence_packing,
         op10_simhash_near_dedup,
+        op11_conversation_repair,
+        op12_fill_middle,
     )
 }
 
@@ -145,4 +157,6 @@ ORACLE_SQL: dict[str, str] = {
     "op1_embedding_near_dedup": NEAR_SQL,
     "op4_source_mixing": MIX_SQL,
     "op5_license_scan": license_scan.oracle_sql(),
+    "op11_conversation_repair": conversation_repair.ORACLE_SQL,
+    "op12_fill_middle": fill_middle.ORACLE_SQL,
 }
