@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from . import (
+    attention_lm,
     conversation_repair,
     curve_shards,
     embedding_dedup,
@@ -80,6 +81,10 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(documents(spark, sf_dir))
 
 
+def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return attention_lm.scores(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+
+
 QUERIES: dict[str, Query] = {
     f.__name__: f
     for f in (
@@ -95,6 +100,7 @@ QUERIES: dict[str, Query] = {
         op10_simhash_near_dedup,
         op11_conversation_repair,
         op12_fill_middle,
+        op13_lm_scores,
     )
 }
 

@@ -20,7 +20,7 @@ def test_equals_sql(spark, name):
 
 
 def test_one_query_per_operator():
-    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 13))
+    assert sorted(int(re.match(r"op(\d+)_", n)[1]) for n in QUERIES) == list(range(1, 14))
 
 
 @pytest.mark.parametrize("pattern", ["crossJoin", "localCheckpoint", "tempfile", r"\.rdd\b", "except ImportError", r"coalesce\(1\)"])
