@@ -81,8 +81,15 @@ def op12_fill_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fill_middle.digests(documents(spark, sf_dir))
 
 
+def subwords() -> attention_lm.Subwords:
+    """A public byte-level vocabulary and its pattern."""
+    import public_tokenizers
+
+    return attention_lm.Subwords(tokenizer("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
 def op13_lm_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return attention_lm.scores(documents(spark, sf_dir), tokenizer("byte_bpe_50k.json"))
+    return attention_lm.scores(documents(spark, sf_dir), subwords())
 
 
 QUERIES: dict[str, Query] = {

@@ -13,7 +13,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopflow.llm import attention_lm as lm, attention_net as net
-from shopflow.llm.queries import tokenizer
+from shopflow.llm.queries import subwords
 from tests.llm.cases import DOCS, clashing, corpus, frame
 
 SF = "/root/testdata/sf0.01"
@@ -21,7 +21,7 @@ SF = "/root/testdata/sf0.01"
 
 @pytest.fixture(scope="module")
 def path():
-    return tokenizer("byte_bpe_50k.json")
+    return subwords()
 
 
 def small_net(seed=0, classes=7, width=5, stride=4, kind=np.float64):
@@ -34,7 +34,7 @@ def test_gradient(monkeypatch):
     monkeypatch.setattr(net, "F32", np.float64)
     rng, p = np.random.default_rng(1), small_net()
     lengths = np.array([3, 9, 17, 1])
-    found, _, _ = net.windows(np.cumsum(lengths) - lengths, lengths, 4)
+    found = net.Windows(np.cumsum(lengths) - lengths, lengths, 4).at(slice(None))
     ids = rng.integers(0, 7, lengths.sum() + 1)
     batch = ids[found.places], found.first, ids[found.places[:, 4:] + 1], found.real
     gradient = net.Net(p, 4).gradient(*batch)[1]
@@ -52,7 +52,8 @@ def test_gradient(monkeypatch):
 def test_windows_predict_every_position_once():
     lengths = np.array([1, 4, 5, 8, 100])
     begins = np.cumsum(lengths) - lengths
-    found, text, number = net.windows(begins, lengths, 4)
+    every = net.Windows(begins, lengths, 4)
+    found, text, number = every.at(slice(None)), every.text, every.number
     assert sorted(found.places[:, 4:][found.real]) == list(range(lengths.sum()))
     for places, first, t, k in zip(found.places, found.first, text, number):
         assert first == (k == 0) and places.min() >= begins[t] and places.max() < begins[t] + lengths[t]
@@ -80,7 +81,7 @@ def test_windows_equal_positions_one_by_one():
     lengths = np.array([1, 4, 5, 30])
     begins = np.cumsum(lengths) - lengths
     ids = rng.integers(0, 7, lengths.sum() + 1)
-    found, _, _ = net.windows(begins, lengths, 4)
+    found = net.Windows(begins, lengths, 4).at(slice(None))
     logs = net.Net(p, 4).log_probabilities(ids[found.places], found.first, ids[found.places[:, 4:] + 1])
     made = np.empty(lengths.sum())
     made[found.places[:, 4:][found.real]] = logs[found.real] / math.log(10)
@@ -118,12 +119,12 @@ def test_equals_plain_version(spark, rows, path, monkeypatch):
     total, distinct = sum(counts.values()) + ends, len(counts) + 1
     assert (model.train_tokens, model.distinct) == (total, distinct)
 
-    spell, begin = lm._words(path), lm.begins(path)
+    spell, begin = lm.vocabulary(path).spell, lm.vocabulary(path).begins
     params = net.unflat(model.values, lm.CLASSES, lm.WIDTH, lm.STRIDE)
     want = []
     for i, text, *_ in rows:
         words = words_of(text)
-        ids = np.frombuffer(b"".join(map(spell.__getitem__, words)), "<u2")
+        ids = np.frombuffer(b"".join(spell([w])[0] for w in words), "<u2")
         known, next_ = np.append(lm.END, ids), np.append(ids, lm.END)
         logs = [row[model.class_of[n]] for row, n in zip(one_by_one(params, lm.STRIDE, model.class_of[known]), next_)]
         share = model.share[model.class_of[known], np.minimum(next_, model.share.shape[1] - 1)]
@@ -142,9 +143,19 @@ def test_equals_plain_version(spark, rows, path, monkeypatch):
         assert a[5:] == pytest.approx(b[5:], rel=1e-4, abs=1e-3)
 
 
+def test_words_spell_alone_as_together(path):
+    known = lm.vocabulary(path)
+    words = sorted({w for t in ["it's a a1b2... <|endoftext|> é漢字 \x1c\x1dx \x00 ''", "x" * 5000] for w in words_of(t)})
+    for extra in ([], ["\xa0".encode()], ["\xa0a".encode(), "b\x85".encode(), "\u3000".encode()]):
+        made = known.spell(words + extra)
+        assert made == [known.spell([w])[0] for w in words + extra] and len(set(made)) == len(made)
+        assert all(known.begins[i] == (k == 0) for m in made for k, i in enumerate(np.frombuffer(m, "<u2")))
+    assert known.spell([]) == []
+
+
 def test_distribution_sums_to_one(learned):
     size = learned.share.shape[1] - 1
-    of = np.append(learned.class_of[:size], learned.class_of[lm.END])
+    of = lm.classes_with_end(learned.class_of, size)
     for row in 10.0 ** learned.share[::17].astype(float):
         assert np.bincount(of, row, lm.CLASSES)[np.unique(of)] == pytest.approx(1, rel=1e-3)
     for row in one_by_one(net.unflat(learned.values, lm.CLASSES, lm.WIDTH, lm.STRIDE), lm.STRIDE, of[:40]):
@@ -155,7 +166,7 @@ def test_later_words_change_nothing_before(learned, path):
     network, small = net.Net(net.unflat(learned.values, lm.CLASSES, lm.WIDTH, lm.STRIDE), lm.STRIDE), learned.class_of.astype(np.uint8)
 
     def logs(text):
-        ids = b"".join(map(lm._words(path).__getitem__, words_of(text)))
+        ids = b"".join(lm.vocabulary(path).spell(words_of(text)))
         return lm.id_scores(pa.RecordBatch.from_pydict({"ids": [ids]}), learned, network, small)[1]
 
     start = "w1 w2 w3 w4 w5 " * 9
@@ -178,8 +189,9 @@ def test_learns_from_the_corpus(spark, path):
     counts = lm.id_counts(model.words) + 0.5
     counts[lm.END] = model.hot_counts[0]
     plain = np.log10(counts / counts.sum())[lm._Texts(batch).predicted].mean()
-    behind = lm.neighbours(training, model.class_of, lm.CLASSES, before=False)[0]
-    pairs = np.stack([np.bincount(model.class_of, row, lm.CLASSES) for row in behind])
+    size = lm.vocabulary(path).size
+    behind = lm.neighbours(training, model.class_of, lm.CLASSES, size, before=False)[0]
+    pairs = np.stack([np.bincount(lm.classes_with_end(model.class_of, size), row, lm.CLASSES) for row in behind])
     first = mean(net.flat(net.start(pairs, lm.WIDTH, lm.STRIDE)))
     assert mean(model.values) > plain + 0.3 and mean(model.values) > first
 
