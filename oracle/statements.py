@@ -411,6 +411,18 @@ BODIES: dict[str, str] = {
     "bronze_events": "SELECT * FROM bronze",
     "bronze_ingest": """SELECT * REPLACE (NULLIF(category_code, '') AS category_code,
       NULLIF(brand, '') AS brand) FROM bronze""",
+    "bronze_evolving": f"""SELECT * EXCLUDE late REPLACE (NULLIF(category_code, '') AS category_code,
+      NULLIF(brand, '') AS brand), CASE WHEN late THEN 'spring' END AS campaign,
+      CASE WHEN late THEN '2024-02' ELSE '2024-01' END AS month
+      FROM (SELECT *, event_time >= '{q.LATE_FROM}'
+            OR CAST(product_id AS BIGINT) % {q.LATE_PRODUCTS} = 1 AS late FROM bronze)""",
+    "incremental_fact_events":
+        "SELECT * REPLACE (NULLIF(category_code, '') AS category_code) FROM fact",
+    "incremental_dim_product": """SELECT * REPLACE (NULLIF(category_code, '') AS category_code,
+      NULLIF(category_l1, '') AS category_l1, NULLIF(brand, '') AS brand) FROM product""",
+    "incremental_dim_session": "SELECT * FROM sess",
+    "incremental_daily_metrics": "SELECT * FROM daily",
+    "incremental_cart_abandonment": "SELECT * FROM abandoned",
     "fact_events": "SELECT * FROM fact",
     "clustered_fact": "SELECT * FROM fact",
     "compacted_fact": "SELECT * FROM fact",

@@ -54,15 +54,10 @@ def fact_events(bronze: DataFrame) -> DataFrame:
     return typed_events(bronze).distinct()
 
 
-def dim_product(bronze: DataFrame) -> DataFrame:
-    """Newest attributes per product (ties: the greatest attribute texts).
-
-    A maximum over (time, attributes) keeps one row per product and map task before the
-    shuffle, so a best-selling product never puts its rows into one task. Attributes stay
-    text until then: only the surviving rows are cast.
-    """
+def product_state(bronze: DataFrame) -> DataFrame:
+    """Newest attribute texts per product, as one value that states of parts merge by ``max``."""
     attributes = ("category_id", "category_code", "brand", "price")
-    newest = (
+    return (
         bronze.select(
             F.col("product_id").try_cast("bigint").alias("product_id"),
             F.struct(
@@ -73,8 +68,11 @@ def dim_product(bronze: DataFrame) -> DataFrame:
         .groupBy("product_id")
         .agg(F.max("row").alias("row"))
     )
+
+
+def product_attributes(state: DataFrame) -> DataFrame:
     level = F.split("row.category_code", r"\.")
-    return newest.select(
+    return state.select(
         "product_id",
         F.col("row.category_id").try_cast("decimal(30,0)").alias("category_id"),
         "row.category_code",
@@ -87,6 +85,16 @@ def dim_product(bronze: DataFrame) -> DataFrame:
     )
 
 
+def dim_product(bronze: DataFrame) -> DataFrame:
+    """Newest attributes per product (ties: the greatest attribute texts).
+
+    A maximum over (time, attributes) keeps one row per product and map task before the
+    shuffle, so a best-selling product never puts its rows into one task. Attributes stay
+    text until then: only the surviving rows are cast.
+    """
+    return product_attributes(product_state(bronze))
+
+
 def session_products(events: DataFrame) -> DataFrame:
     """Rollup to (session, product): the first step of the session dimension."""
     return counted(events).groupBy("user_session", "product_id").agg(

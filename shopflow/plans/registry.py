@@ -24,7 +24,9 @@ from ..session import fresh_path
 from ..sources import platform_data
 from ..sources.raw_csv import write_raw
 from ..sources.testdata import staged_bronze, table
+from ..streaming.evolving import ingest_evolving, loaded
 from ..streaming.ingest import bronze_events, ingest
+from . import incremental
 from .layers import Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -146,6 +148,46 @@ def _bronze_ingest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bronze_events(spark, target).drop("source_file")
 
 
+# the second delivery: the last days, and rows of some products that come late
+LATE_FROM = "2024-01-24"
+LATE_PRODUCTS = 97
+
+
+def deliveries(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    staged = staged_bronze(spark, sf_dir)
+    late = (F.col("event_time") >= LATE_FROM) | (F.col("product_id").cast("long") % LATE_PRODUCTS == 1)
+    moved = [F.col(c) for c in reversed(staged.columns)]
+    return staged.where(~late), staged.where(late).select(F.lit("spring").alias("campaign"), *moved)
+
+
+def _deliver(rows: DataFrame, path: str) -> None:
+    rows.write.option("header", True).csv(path)
+
+
+def _bronze_evolving(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two deliveries, the second with other column order and one column more; each row with
+    the month folder it came from."""
+    raw, target, ledger = (fresh_path(spark, n) for n in ("raw", "bronze", "ledger"))
+    for rows, month in zip(deliveries(spark, sf_dir), ("2024-01", "2024-02")):
+        _deliver(rows, f"{raw}/{month}")
+        ingest_evolving(spark, raw, target, ledger)
+    ingest_evolving(spark, raw, target, ledger)
+    month = F.element_at(F.split("source_file", "/"), -2)
+    return loaded(spark, target).withColumn("month", month).drop("source_file", "load")
+
+
+def _incremental(build: Callable[[incremental.Lake], DataFrame]) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """Two deliveries, each applied when it came."""
+        raw, lake = fresh_path(spark, "raw"), incremental.Lake(spark, fresh_path(spark, "lake"))
+        for rows, month in zip(deliveries(spark, sf_dir), ("2024-01", "2024-02")):
+            _deliver(rows, f"{raw}/{month}")
+            incremental.update(spark, raw, lake.root)
+        return build(lake)
+
+    return query
+
+
 def _clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "clustered")
     layout.clustered(layers(spark, sf_dir).fact_events).write.parquet(path)
@@ -167,6 +209,12 @@ QUERIES: dict[str, Query] = {
     # bronze and silver
     "bronze_events": _on(lambda t: t.bronze_events),
     "bronze_ingest": _bronze_ingest,
+    "bronze_evolving": _bronze_evolving,
+    "incremental_fact_events": _incremental(lambda k: _with_plain_ids(k.table("silver/fact_events"))),
+    "incremental_dim_product": _incremental(lambda k: _with_plain_ids(incremental.dim_product(k))),
+    "incremental_dim_session": _incremental(lambda k: k.table("silver/dim_session")),
+    "incremental_daily_metrics": _incremental(lambda k: k.table("gold/daily_metrics")),
+    "incremental_cart_abandonment": _incremental(lambda k: k.table("gold/cart_abandonment")),
     "fact_events": _on(lambda t: _with_plain_ids(t.fact_events)),
     "dim_product": _on(lambda t: _with_plain_ids(t.dim_product)),
     "dim_session": _on(lambda t: t.dim_session),

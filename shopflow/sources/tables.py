@@ -71,6 +71,11 @@ def create_view(table: DataFrame, name: str) -> None:
     table.createOrReplaceTempView(name)
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
+
+
 def read_evolving(spark: SparkSession, *paths: str) -> DataFrame:
     """Parquet files of which later ones may carry additional columns."""
     return spark.read.option("mergeSchema", True).parquet(*paths)
