@@ -6,6 +6,7 @@ Spark operators take rollups, so that agreement checks the rewriting too.
 from __future__ import annotations
 
 from shopflow import fixed_values as fv
+from shopflow.operators import deep_dive as dd
 from shopflow.plans import registry as q
 
 
@@ -253,6 +254,8 @@ CTES["moves"] = """
 
 CTES["cuts"] = "SELECT * FROM moves WHERE price_move = 'price cut >5%'"
 
+CTES["ranges"] = "SELECT l_partkey, min(l_orderkey) AS lo, max(l_orderkey) AS hi FROM lineitem GROUP BY l_partkey"
+
 CTES["cut_counts"] = """
   SELECT event_date, count(DISTINCT product_id) AS products_cut FROM cuts GROUP BY event_date"""
 
@@ -454,6 +457,34 @@ FROM (SELECT
     AS recoverable_ids)""",
     "discount_tier_analysis": f"""
 SELECT {half_month("event_date")} AS month, sale_day_tier, {_TIER_SUMS} FROM tiered GROUP BY 1, 2""",
+    "tier_limits": f"""SELECT count(*) AS days, quantile_disc(products_cut, {dd.MEGA_SHARE}) AS mega_cuts,
+       quantile_disc(products_cut, {dd.ELEVATED_SHARE}) AS elevated_cuts FROM cut_counts""",
+    "quantile_tier_analysis": f"""
+SELECT {half_month("event_date")} AS month, sale_day_tier, {_TIER_SUMS}
+FROM (SELECT c.*, CASE WHEN products_cut >= (SELECT quantile_disc(products_cut, {dd.MEGA_SHARE}) FROM cut_counts)
+                       THEN {text(fv.TIER_MEGA)}
+                       WHEN products_cut >= (SELECT quantile_disc(products_cut, {dd.ELEVATED_SHARE}) FROM cut_counts)
+                       THEN {text(fv.TIER_ELEVATED)} ELSE {text(fv.TIER_BACKGROUND)} END AS sale_day_tier
+      FROM cuts c JOIN cut_counts USING (event_date)) GROUP BY 1, 2""",
+    "cohort_triangle": f"""
+SELECT cohort, period_offset, cohort_users, users, purchases, revenue,
+       {pct("users", "cohort_users")} AS retained_pct
+FROM (SELECT *, max(users) FILTER (WHERE period_offset = 0) OVER (PARTITION BY cohort) AS cohort_users
+      FROM (SELECT cohort, CAST(date_diff('day', cohort, week) // 7 AS INTEGER) AS period_offset,
+                   count(DISTINCT user_id) AS users, count(*) AS purchases,
+                   {dbl(f"SUM({dec()})")} AS revenue
+            FROM (SELECT user_id, price, CAST(date_trunc('week', event_date) AS DATE) AS week
+                  FROM fact WHERE event_type = 'purchase')
+            JOIN (SELECT user_id, CAST(date_trunc('week', min(event_date)) AS DATE) AS cohort
+                  FROM fact WHERE event_type = 'purchase' GROUP BY user_id) USING (user_id)
+            GROUP BY 1, 2))""",
+    "interleaved_fact": "SELECT * FROM fact",
+    "interleaved_skipping": "SELECT count(DISTINCT product_id) AS products, true AS at_most_half FROM fact",
+    "file_overlap": f"""
+SELECT count(*) AS ranges, max(depth) AS max_depth, {rounded("avg(depth)", 4)} AS mean_depth,
+       {rounded("1 - (avg(depth) - 1) / (count(*) - 1)", 4)} AS quality
+FROM (SELECT a.l_partkey, count(*) AS depth FROM ranges a JOIN ranges b ON a.lo BETWEEN b.lo AND b.hi
+      GROUP BY a.l_partkey)""",
     "sale_tier_totals": f"SELECT sale_day_tier, {_TIER_SUMS} FROM tiered GROUP BY 1",
     "top_cut_days": top("cut_counts", 10, "products_cut", "event_date"),
     "cohort_behavior": f"""
@@ -694,6 +725,11 @@ FROM hours ORDER BY revenue DESC, hour_of_day LIMIT 6""",
 }
 
 
+# the stored views give the reports' own results
+for _report in q.VIEW_NAMES:
+    BODIES[f"view_{_report}"] = BODIES["job_runs" if _report == "pipeline_runs" else _report]
+
+
 def _needed(sql: str, known: list[str]) -> list[str]:
     """The named steps a statement reads, directly or through others, in order."""
     import re

@@ -95,6 +95,19 @@ def period_start(day: str | Column, period: str = "month") -> Column:
     raise ValueError(f"unknown period: {period}")
 
 
+def period_number(start: str, period: str = "month") -> Column:
+    """Consecutive numbers for the first days of consecutive periods."""
+    d = F.col(start)
+    months = F.year(d) * 12 + F.month(d)
+    if period == "month":
+        return months
+    if period == "half_month":
+        return months * 2 + F.when(F.dayofmonth(d) > 15, 1).otherwise(0)
+    if period == "week":
+        return F.floor((F.unix_date(d) + 3) / 7).cast("int")
+    raise ValueError(f"unknown period: {period}")
+
+
 def mask_user_id(user_id: str | Column, privileged: bool = False) -> Column:
     """Unchanged for privileged readers, otherwise a deterministic 64-bit hash.
 

@@ -5,7 +5,7 @@ Parameters named ``events`` take the fact or its stored rollup (``operators.roll
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..fixed_values import (
     COHORT_NEW,
@@ -18,11 +18,15 @@ from ..fixed_values import (
     TIER_ELEVATED,
     TIER_MEGA,
 )
-from ..functions.columns import from_units, pct, period_start, ratio, units
+from ..functions.columns import from_units, pct, period_number, period_start, ratio, units
 from ..functions.ranking import distributed_ntile
 from ..session import stored
 from .diagnostic import price_cuts
-from .rollup import counted, only
+from .rollup import counted, only, summed
+
+
+# shares of days below the limits of the sale-day tiers that follow from the data
+MEGA_SHARE, ELEVATED_SHARE = 0.95, 0.75
 
 
 def _day(text: str) -> Column:
@@ -43,7 +47,7 @@ def cut_days(events: DataFrame) -> DataFrame:
     )
 
 
-def _with_tier(days: DataFrame, mega: int, elevated: int) -> DataFrame:
+def _with_tier(days: DataFrame, mega: int | Column, elevated: int | Column) -> DataFrame:
     cuts = F.col("products_cut")
     return days.withColumn(
         "sale_day_tier",
@@ -86,6 +90,65 @@ def sale_tier_totals(
     return _tier_totals(_with_tier(cut_days(events), mega, elevated), "sale_day_tier")
 
 
+def tier_limits(days: DataFrame, mega: float = MEGA_SHARE, elevated: float = ELEVATED_SHARE) -> DataFrame:
+    """Tier cut-offs of the data themselves: the least number of products cut that at least the
+    given share of days do not exceed (exact, by nearest rank). ``days``: ``cut_days``."""
+
+    def limit(share: float) -> Column:
+        return F.expr(f"percentile_disc({share}) WITHIN GROUP (ORDER BY products_cut)").cast("bigint")
+
+    return days.agg(
+        F.count(F.lit(1)).alias("days"), limit(mega).alias("mega_cuts"), limit(elevated).alias("elevated_cuts")
+    )
+
+
+def quantile_tier_analysis(
+    events: DataFrame, mega: float = MEGA_SHARE, elevated: float = ELEVATED_SHARE, period: str = "month"
+) -> DataFrame:
+    """``discount_tier_analysis`` with the limits of ``tier_limits`` in place of fixed ones.
+
+    The days (one row each) are read twice, for the limits and for the tiers: they are stored."""
+    days = stored(cut_days(events), "cut-days")
+    limits = tier_limits(days, mega, elevated)
+    tiered = _with_tier(days, limits.select("mega_cuts").scalar(), limits.select("elevated_cuts").scalar())
+    return _tier_totals(
+        tiered.withColumn("month", period_start("event_date", period)), "month", "sale_day_tier"
+    )
+
+
+def cohort_triangle(events: DataFrame, period: str = "month") -> DataFrame:
+    """Buyers by the period of their first purchase and the periods since: how many bought,
+    how often and for how much, and which share of the cohort they are.
+
+    Purchases are folded to (user, period) once. A user's first period is a minimum over those
+    few rows, one per period, so users are not joined back and a heavy user is no large group.
+    """
+    start = period_start("event_date", period)
+    bought = (
+        counted(only(events, "purchase"))
+        .where(F.col("user_id").isNotNull() & F.col("event_date").isNotNull())
+        .groupBy("user_id", start.alias("period"))
+        .agg(*summed("purchases", "revenue"))
+    )
+    first = F.min("period").over(Window.partitionBy("user_id"))
+    cells = (
+        bought.withColumn("cohort", first)
+        .withColumn("period_offset", period_number("period", period) - period_number("cohort", period))
+        .groupBy("cohort", "period_offset")
+        .agg(F.count(F.lit(1)).alias("users"), *summed("purchases", "revenue"))
+    )
+    size = F.max(F.when(F.col("period_offset") == 0, F.col("users"))).over(Window.partitionBy("cohort"))
+    return cells.select(
+        "cohort",
+        "period_offset",
+        size.alias("cohort_users"),
+        "users",
+        "purchases",
+        from_units(F.col("revenue")).alias("revenue"),
+        pct(F.col("users"), size).alias("retained_pct"),
+    )
+
+
 def top_cut_days(events: DataFrame, n: int = 10) -> DataFrame:
     """The days on which most products were cut."""
     return (

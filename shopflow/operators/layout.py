@@ -5,7 +5,9 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
+
+from ..session import stored
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 FACT_KEYS = ("event_date", "product_id")
@@ -53,6 +55,108 @@ def clustered(
     return spread.sortWithinPartitions(*order)
 
 
+# ranks per key of the interleaved order: 2 ** RANK_BITS ranges of about equal volume
+RANK_BITS = 6
+
+
+def _ordinal(table: DataFrame, key: str) -> Column:
+    return F.unix_date(key) if isinstance(table.schema[key].dataType, T.DateType) else F.col(key)
+
+
+def _rank(value: Column, cuts: list) -> Column:
+    """Number of cut points up to a value; NULL is below all."""
+    if not cuts:
+        return F.lit(0)
+    return F.coalesce(F.size(F.filter(F.array(*map(F.lit, cuts)), lambda cut: cut <= value)), F.lit(0))
+
+
+def interleaved_key(table: DataFrame, keys: Sequence[str] = FACT_KEYS) -> Column:
+    """The bits of the keys' quantile ranks in turn, the highest first: rows close in this
+    number are close in every key. The cut points (a bounded list) come from one pass."""
+    shares = F.array(*(F.lit(i / 2**RANK_BITS) for i in range(1, 2**RANK_BITS)))
+    row = table.agg(*(F.percentile_approx(_ordinal(table, k), shares, 10_000).alias(k) for k in keys)).first()
+    key = F.lit(0).cast("long")
+    ranks = [_rank(_ordinal(table, k), sorted(set(row[k] or []))) for k in keys]
+    for bit in reversed(range(RANK_BITS)):
+        for rank in ranks:
+            key = F.shiftleft(key, 1).bitwiseOR(F.shiftright(rank, bit).bitwiseAND(F.lit(1)).cast("long"))
+    return key
+
+
+def interleaved(table: DataFrame, keys: Sequence[str] = FACT_KEYS, files: int | None = None) -> DataFrame:
+    """Rows ordered so that a filter on any one of the keys skips files.
+
+    ``clustered`` orders by the first key and then the second, which serves the second alone
+    badly. Rows of one rank pair are spread further by the keys and the event time.
+    """
+    order = ["_interleaved", *keys, *(c for c in ("event_time", "user_session") if c in table.columns)]
+    keyed = table.withColumn("_interleaved", interleaved_key(table, keys))
+    spread = keyed.repartitionByRange(files, *order) if files else keyed.repartitionByRange(*order)
+    return spread.sortWithinPartitions(*order).drop("_interleaved")
+
+
+def file_ranges(files: DataFrame, key: str) -> DataFrame:
+    """Least and greatest key of every file of a Parquet scan."""
+    return files.groupBy(F.col("_metadata.file_path").alias("file")).agg(
+        F.min(key).alias("lo"), F.max(key).alias("hi")
+    )
+
+
+def files_opened(ranges: DataFrame, values: DataFrame) -> DataFrame:
+    """How many files a filter on each value must open; ``values``: one column ``value``."""
+    return (
+        values.join(ranges, F.col("value").between(F.col("lo"), F.col("hi")), "left")
+        .groupBy("value")
+        .agg(F.count("lo").alias("files"))
+    )
+
+
+def overlap_depth(ranges: DataFrame) -> DataFrame:
+    """How far the ranges ``lo`` to ``hi`` (ends included) overlap, in one row: their number,
+    the most and the mean number of ranges that hold a range's lower end, itself included, and
+    a quality of 1 where none overlap and 0 where all do.
+
+    A sweep over the ends: each opening adds one, each end takes one. Equal ends are folded,
+    the rest is range-partitioned, and a running sum needs the sums of the partitions before it
+    (one row each) and those inside its own. No range is compared with another.
+    """
+    ends = ranges.where("lo IS NOT NULL AND hi IS NOT NULL").select(
+        F.inline(
+            F.array(
+                F.struct(F.col("lo").alias("at"), F.lit(0).alias("closing")),
+                F.struct(F.col("hi").alias("at"), F.lit(1).alias("closing")),
+            )
+        )
+    )
+    folded = ends.groupBy("at", "closing").agg(F.count(F.lit(1)).alias("rows"))
+    change = F.when(F.col("closing") == 0, F.col("rows")).otherwise(-F.col("rows"))
+    dealt = stored(
+        folded.repartitionByRange("at", "closing").withColumn("slice", F.spark_partition_id()), "overlap-ends"
+    ).withColumn("change", change)
+    before = Window.orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+    slices = dealt.groupBy("slice").agg(F.sum("change").alias("change"))
+    slices = slices.select("slice", F.coalesce(F.sum("change").over(before), F.lit(0)).alias("open_before"))
+    inside = F.sum("change").over(Window.partitionBy("slice").orderBy("at", "closing"))
+    depth = (
+        dealt.withColumn("inside", inside)
+        .join(slices, "slice")
+        .where("closing = 0")
+        .select("rows", (F.col("inside") + F.col("open_before")).alias("depth"))
+    )
+    total = depth.agg(
+        F.coalesce(F.sum("rows"), F.lit(0)).alias("ranges"),
+        F.max("depth").alias("max_depth"),
+        F.sum(F.col("depth") * F.col("rows")).alias("sum_depth"),
+    )
+    mean = F.col("sum_depth").cast("double") / F.col("ranges")
+    return total.select(
+        "ranges",
+        "max_depth",
+        F.when(F.col("ranges") > 0, F.round(mean, 4)).alias("mean_depth"),
+        F.when(F.col("ranges") > 1, F.round(1 - (mean - 1) / (F.col("ranges") - 1), 4)).alias("quality"),
+    )
+
+
 def compact(
     spark: SparkSession,
     source: str,

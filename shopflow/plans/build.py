@@ -22,6 +22,7 @@ from ..session import prepare
 from ..sources import tables
 from ..streaming.ingest import ingest
 from .layers import GOLD, Layers
+from .views import create_views
 
 # gold tables are independent of each other; small ones would leave a cluster idle
 CONCURRENT_TABLES = 4
@@ -105,12 +106,13 @@ def gold_tables(spark: SparkSession) -> dict[str, DataFrame]:
 
 
 def build_governance(spark: SparkSession, root: str, version: str) -> None:
-    """Schema comments, the tags as tables, and the inventory of personal data as a view."""
+    """Schema comments, the tags as tables, and the stored views whose tables exist."""
     for name in tables.DATABASES:
         governance.comment_on_database(spark, name)
     tags = _publish(governance.column_tags(spark), "ops.column_tags", root, version)
     _publish(governance.table_tags(spark), "ops.table_tags", root, version)
     tables.create_view(governance.pii_inventory(tags), "pii_inventory")
+    create_views(spark)
 
 
 def record_drift(

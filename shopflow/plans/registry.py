@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -20,13 +21,13 @@ from ..operators import (
     ops,
     quality,
 )
-from ..session import fresh_path
+from ..session import fresh_path, prepare
 from ..sources import platform_data
 from ..sources.raw_csv import write_raw
 from ..sources.testdata import staged_bronze, table
 from ..streaming.evolving import ingest_evolving, loaded
 from ..streaming.ingest import bronze_events, ingest
-from . import incremental
+from . import incremental, views
 from .layers import Layers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -44,6 +45,7 @@ DEEP_VIEWS = 2
 INTENT = ((2, "1 view"), (3, "2 views"))
 INTENT_TOP = "3+ views"
 MANY_VIEWS = 20
+SKIPPING_FILES = 64
 ATTACH_TARGET = 60.0
 
 
@@ -201,6 +203,60 @@ def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_plain_ids(spark.read.parquet(large))
 
 
+def _interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "interleaved")
+    layout.interleaved(layers(spark, sf_dir).fact_events).write.parquet(path)
+    return _with_plain_ids(spark.read.parquet(path))
+
+
+def _file_overlap(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each part's line items as a file, with the range of its order keys."""
+    ranges = table(spark, sf_dir, "lineitem").groupBy("l_partkey").agg(
+        F.min("l_orderkey").alias("lo"), F.max("l_orderkey").alias("hi")
+    )
+    return layout.overlap_depth(ranges)
+
+
+def _skipping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the interleaved layout opens fewer files than the lexicographic one for a
+    filter on the second key, summed over all its values, at equal numbers of files."""
+    fact = layers(spark, sf_dir).fact_events
+    values = fact.select(F.col("product_id").alias("value")).distinct()
+    opened = []
+    for write in (layout.clustered, layout.interleaved):
+        path = fresh_path(spark, "skipping")
+        write(fact, files=SKIPPING_FILES).write.parquet(path)
+        ranges = layout.file_ranges(spark.read.parquet(path), "product_id")
+        opened.append(layout.files_opened(ranges, values).agg(F.sum("files").alias("n"), F.count("*").alias("products")))
+    return opened[0].join(opened[1].withColumnRenamed("n", "m"), "products").select(
+        "products", (F.col("m") * 2 < F.col("n")).alias("at_most_half")
+    )
+
+
+VIEW_NAMES = ("daily_dbu_cost", "expensive_queries", "pipeline_runs", "table_usage", "pii_inventory")
+
+
+def _view(name: str) -> Query:
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        """A stored view over catalog tables, read by another session."""
+        database, root = f"views_{uuid.uuid4().hex}", fresh_path(spark, "platform")
+        spark.sql(f"CREATE DATABASE {database} LOCATION '{root}'")
+        make = {
+            "usage": platform_data.usage, "history": platform_data.query_history, "runs": platform_data.job_runs,
+            "jobs": platform_data.jobs, "lineage": platform_data.lineage, "tags": platform_data.tags,
+        }
+        needed = {s: f for s, f in make.items() if "{" + s + "}" in views.TEXTS[name]}
+        for source, build in needed.items():
+            build(spark, sf_dir).write.option("path", f"{root}/{source}").saveAsTable(f"{database}.{source}")
+        as_of = {"daily_dbu_cost": "2001-11-05", "expensive_queries": "2024-01-07"}.get(name, "2024-01-31")
+        views.create_views(
+            spark, database, {s: f"{database}.{s}" for s in make}, as_of, job="BUILDING", usage_days=3000
+        )
+        return prepare(spark.newSession()).table(f"{database}.{name}")
+
+    return query
+
+
 def _alert(rule: Callable[[Layers], alerts.Rule]) -> Query:
     return _on(lambda t: alerts.evaluate(rule(t)))
 
@@ -236,6 +292,11 @@ QUERIES: dict[str, Query] = {
     "category_recovery_check": _on(lambda t: t.category_recovery_check),
     # deep dive
     "discount_tier_analysis": _on(lambda t: t.discount_tier_analysis),
+    "tier_limits": _on(lambda t: deep_dive.tier_limits(deep_dive.cut_days(t.fact_events))),
+    "quantile_tier_analysis": _on(
+        lambda t: deep_dive.quantile_tier_analysis(t.fact_events, period=PERIOD)
+    ),
+    "cohort_triangle": _on(lambda t: deep_dive.cohort_triangle(t.fact_events, "week")),
     "cohort_behavior": _on(lambda t: deep_dive.cohort_behavior(t.fact_events, COHORT_SPLIT)),
     "rfm_segmentation": _on(lambda t: t.rfm_segmentation),
     "rfm_scores": _on(lambda t: deep_dive.rfm_scores(t.fact_events, RECENCY)),
@@ -262,6 +323,9 @@ QUERIES: dict[str, Query] = {
     "pii_inventory": lambda spark, d: governance.pii_inventory(platform_data.tags(spark, d)),
     "clustered_fact": _clustered,
     "compacted_fact": _compacted,
+    "interleaved_fact": _interleaved,
+    "interleaved_skipping": _skipping,
+    "file_overlap": _file_overlap,
     # platform reports
     "daily_dbu_cost": lambda spark, d: ops.daily_dbu_cost(
         platform_data.usage(spark, d), "2001-11-05", days=3000
@@ -273,6 +337,7 @@ QUERIES: dict[str, Query] = {
         platform_data.job_runs(spark, d), platform_data.jobs(spark, d), "BUILDING"
     ),
     "table_usage": lambda spark, d: ops.table_usage(platform_data.lineage(spark, d), "2024-01-31"),
+    **{f"view_{name}": _view(name) for name in VIEW_NAMES},
     # dashboards
     "dash_funnel": _on(lambda t: bi.dash_funnel(t.funnel)),
     "dash_daily": _on(lambda t: bi.dash_daily(t.daily_metrics)),
