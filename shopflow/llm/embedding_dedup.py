@@ -256,14 +256,15 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
     nodes = stored(
         marked.where("vector is not null")
         .groupBy("label", "vector")
-        .agg(F.min("vec_id").alias("node"), F.count(F.lit(1)).alias("many"))
-        .withColumn("size", F.size("vector")),
+        .agg(F.min("vec_id").alias("least"), F.count(F.lit(1)).alias("many"))
+        .withColumn("size", F.size("vector"))
+        .withColumn("node", F.monotonically_increasing_id()),  # fixed by being stored
         "embedding-nodes",
     )
     shape = nodes.agg(F.max("size"), F.count(F.lit(1))).first()
     width, total = shape[0] or 1, shape[1]
     words = int(min(MOST_WORDS, max(4, (total / 1000) ** 0.54)))
-    sample = nodes.orderBy(F.xxhash64("node")).limit(SAMPLE_PER_WORD * words).select("vector").toArrow()
+    sample = nodes.orderBy(F.xxhash64("vector")).limit(SAMPLE_PER_WORD * words).select("vector").toArrow()
     half = width // 2
     if len(sample):
         units = _unit(sample.column("vector").combine_chunks(), width)
@@ -279,18 +280,23 @@ def near_duplicates(rows: DataFrame, threshold: float = 0.98) -> DataFrame:
     )
     links = found.groupBy(F.col("a").alias("node")).agg(F.sum("links").alias("links"))
     components = connected_components(found.select("a", "b"))
-    named = (
-        nodes.select("label", "vector", "node", "many")
+    # a component is named by its least vec_id, which its least node need not have
+    placed = stored(
+        nodes.select("label", "vector", "node", "many", "least")
         .join(links, "node", "left")
-        .join(components, "node", "left")
-        .select(
-            "label",
-            "vector",
-            (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("n_links"),
-            F.coalesce("component", "node").alias("component"),
-        )
+        .join(components, "node", "left"),
+        "embedding-placed",
+    )
+    names = stored(
+        placed.where("component IS NOT NULL").groupBy("component").agg(F.min("least").alias("name")), "embedding-names"
+    )
+    named = placed.join(names, "component", "left").select(
+        "label",
+        "vector",
+        (F.coalesce("links", F.lit(0)) + F.col("many") - 1).alias("n_links"),
+        F.coalesce("name", "least").alias("name"),
     )
-    component = F.coalesce("component", "vec_id")
+    component = F.coalesce("name", "vec_id")
     return marked.join(named, ["label", "vector"], "left").select(
         "vec_id",
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),

@@ -111,24 +111,24 @@ QUERIES: dict[str, Query] = {
     )
 }
 
-# All pairs of usable vectors within a label, and reachability by ever smaller names.
+# All pairs of usable rows within a label, and reachability by ever smaller rows.
 NEAR_SQL = """
 WITH RECURSIVE v AS (
-  SELECT vec_id, label, embedding::DOUBLE[] AS x,
+  SELECT row_number() OVER () AS row, vec_id, label, embedding::DOUBLE[] AS x,
          label IS NOT NULL AND vec_id IS NOT NULL AND coalesce(len(embedding), 0) > 0
          AND len(list_filter(embedding, lambda e: e IS NULL OR NOT isfinite(e))) = 0
          AND len(list_filter(embedding, lambda e: e <> 0)) > 0 AS usable
   FROM embeddings),
 links AS (
-  SELECT a.vec_id AS a, b.vec_id AS b FROM v a, v b
-  WHERE a.usable AND b.usable AND a.label = b.label AND a.vec_id <> b.vec_id AND len(a.x) = len(b.x)
+  SELECT a.row AS a, b.row AS b, b.vec_id FROM v a, v b
+  WHERE a.usable AND b.usable AND a.label = b.label AND a.row <> b.row AND len(a.x) = len(b.x)
     AND list_cosine_similarity(a.x, b.x) >= 0.98),
 reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
-least AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+least AS (SELECT a, min(vec_id) AS least FROM reach JOIN v ON v.row = b GROUP BY a),
 degree AS (SELECT a, count(*) AS n FROM links GROUP BY a)
-SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least.b, vec_id)) AS component_id,
-       vec_id = least(vec_id, coalesce(least.b, vec_id)) AS kept
-FROM v LEFT JOIN least ON least.a = vec_id LEFT JOIN degree ON degree.a = vec_id
+SELECT vec_id, coalesce(n, 0)::BIGINT AS n_links, least(vec_id, coalesce(least, vec_id)) AS component_id,
+       vec_id = least(vec_id, coalesce(least, vec_id)) AS kept
+FROM v LEFT JOIN least ON least.a = v.row LEFT JOIN degree ON degree.a = v.row
 """
 
 # Water-filled targets in closed form, then running totals over the whole hash order.

@@ -89,6 +89,15 @@ def test_traversal_order_and_bound():
             assert (apart[:, inside].min(axis=1) >= bound[:, c] - 1e-9).all()
 
 
+def test_vectors_of_one_id(spark):
+    """Rows are vectors of their own, also under one id: no shared counts, links among them."""
+    rows = [(1, [1.0, 0.0], 1), (1, [0.0, 1.0], 1), (2, [1.0, 0.01], 1), (3, [0.01, 1.0], 1), (3, [0.02, 1.0], 1),
+            (9, [-1.0, 0.0], 1), (4, [-1.0, 0.01], 1), (9, [1.0, 0.0], 2)]
+    got = sorted((r.vec_id, r.n_links, r.component_id, r.kept) for r in op.near_duplicates(table(spark, rows)).collect())
+    assert got == [(1, 1, 1, True), (1, 2, 1, True), (2, 1, 1, False), (3, 2, 1, False), (3, 2, 1, False),
+                   (4, 1, 4, True), (9, 0, 9, True), (9, 1, 4, False)]
+
+
 def test_empty_table(spark):
     assert op.near_duplicates(table(spark, [])).count() == 0
     assert op.near_duplicates(table(spark, ODD[:3])).count() == 3
