@@ -23,8 +23,8 @@ side are rejected: text above the band is unlike its language, text below it rep
 itself. A band is never narrower than ``LEAST_WIDTH`` on each side, so a language in which
 most documents are copies of one text does not lose the others.
 
-**Edge rows.** NULL text: no words, which fails the fixed rules. A NULL and an empty language are one language
-  Every row is judged for itself, so repeated rows get equal verdicts. Whole texts
+**Edge rows.** NULL text: no words, which fails the fixed rules. A NULL and an empty language
+are one. Every row is judged for itself, so repeated rows get equal verdicts. Whole texts
 are read, whatever their length. ``keep`` keeps all columns, whatever their names.
 """
 
