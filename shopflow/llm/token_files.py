@@ -34,11 +34,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
-from shopflow.session import fresh_path, stored
+from shopflow.session import discard, fresh_path, stored
 
+from .texts import with_columns
 from .tokens import encoder
 
 BLOCK = 256
@@ -149,22 +151,50 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     return out.reshape(-1)[first - low * BLOCK : last - low * BLOCK]
 
 
-def write(docs: DataFrame, tokenizer: str, path: str) -> None:
-    """Tokenize ``docs`` (doc_id, text) and write the chunks as Parquet files under ``path``."""
+def tokenized(docs: DataFrame, tokenizer: str) -> DataFrame:
+    """(doc_id, text_hash, place, n, ids) of every row; ``place`` tells equal rows apart."""
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer)
+        for batch in batches:
+            for some, made in tokens.encode_batch(batch):
+                ids = pa.array(made, pa.binary())
+                n = pc.divide(pc.binary_length(ids), pa.scalar(tokens.dtype.itemsize, pa.int32()))
+                yield with_columns(some, ["doc_id", "text_hash", "place"], {"n": n, "ids": ids})
+
+    slim = docs.select(
+        F.col("doc_id").cast("long"),
+        F.xxhash64("text").alias("text_hash"),
+        F.monotonically_increasing_id().alias("place"),
+        "text",
+    )
+    return slim.mapInArrow(encode, "doc_id long, text_hash long, place long, n int, ids binary")
+
+
+def in_order(ids: DataFrame) -> DataFrame:
+    """Tokenized rows range-partitioned by doc_id; rows under one id, or none, are split too."""
+    order = [F.asc_nulls_first("doc_id"), F.col("text_hash"), F.col("place")]
+    return ids.repartitionByRange(*order).sortWithinPartitions(*order)
+
+
+def write(docs: DataFrame, tokenizer: str, path: str) -> None:
+    """Tokenize ``docs`` (doc_id, text) and write the chunks as Parquet files under ``path``.
+
+    Texts are tokenized where they are read. Their ids are stored before the range
+    partitioning: its sample, and reducers that are run again, read the files.
+    """
+
+    def chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part = TaskContext.get().partitionId()
-        first, ids, names = 0, [], []
+        first, size, ids, names, lengths = 0, 0, [], [], []
 
         def chunk() -> pa.RecordBatch:
-            flat = np.frombuffer(b"".join(ids), tokens.dtype)
-            lengths = [len(x) // tokens.dtype.itemsize for x in ids]
+            flat = np.frombuffer(b"".join(ids), f"<u{sum(map(len, ids)) // size}")
             return pa.RecordBatch.from_arrays(
                 [
                     pa.array([part], pa.int32()),
                     pa.array([first], pa.int64()),
-                    pa.array([len(flat)], pa.int64()),
+                    pa.array([size], pa.int64()),
                     pa.array([names], pa.list_(pa.int64())),
                     pa.array([lengths], pa.list_(pa.int32())),
                     pa.array([pack(flat)], pa.binary()),
@@ -172,27 +202,22 @@ def write(docs: DataFrame, tokenizer: str, path: str) -> None:
                 names=["part", "first", "n_ids", "doc_ids", "lengths", "payload"],
             )
 
-        size = 0
         for batch in batches:
-            doc_ids, texts = (batch.column(c).to_pylist() for c in ("doc_id", "text"))
-            for at in range(0, len(texts), 256):
-                made = tokens.encode([t or "" for t in texts[at : at + 256]])
-                for doc_id, packed in zip(doc_ids[at : at + 256], made):
-                    ids.append(packed)
-                    names.append(doc_id)
-                    size += len(packed) // tokens.dtype.itemsize
-                    if size >= CHUNK_IDS:
-                        yield chunk()
-                        first, size, ids, names = first + size, 0, [], []
+            columns = (batch.column(c) for c in ("doc_id", "n", "ids"))
+            for doc_id, n, packed in zip(*(c.to_pylist() for c in columns)):
+                ids.append(packed)
+                names.append(doc_id)
+                lengths.append(n)
+                size += n
+                if size >= CHUNK_IDS:
+                    yield chunk()
+                    first, size, ids, names, lengths = first + size, 0, [], [], []
         if ids:
             yield chunk()
 
-    ordered = (
-        docs.select(F.col("doc_id").cast("long"), "text")
-        .repartitionByRange(F.asc_nulls_first("doc_id"))
-        .sortWithinPartitions(F.asc_nulls_first("doc_id"), F.xxhash64("text"))
-    )
-    ordered.mapInArrow(encode, CHUNKS).write.parquet(path)
+    ids = stored(tokenized(docs, tokenizer), "token-ids")
+    in_order(ids).select("doc_id", "n", "ids").mapInArrow(chunks, CHUNKS).write.parquet(path)
+    discard(ids)
 
 
 def read(spark: SparkSession, path: str) -> DataFrame:

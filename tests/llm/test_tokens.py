@@ -2,11 +2,14 @@ from __future__ import annotations
 
 import random
 import zlib
+from collections import Counter
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shopflow.llm import packing, token_files
@@ -34,6 +37,23 @@ def test_pieces_equal_whole_texts(path):
             assert np.frombuffer(packed, encode.dtype).tolist() == want, ascii(text)
 
 
+@pytest.mark.parametrize("path", [BYTE, WORD])
+def test_columns_equal_whole_texts(path, monkeypatch):
+    monkeypatch.setattr("shopflow.llm.tokens.SLICE_BYTES", 300)
+    rng = random.Random(5)
+    texts = [None, "", " ", "a", " a", "a ", "a  b", "a\n b", "a \n", "\u3000 x y", "é" * 2000, "a b" * 500]
+    letters = ["w", "A", "é", "ß", "2", ",", ".", "\n", "\x85", "\u2003", "\x1c", " ", " ", " ", "'s"]
+    texts += ["".join(rng.choices(letters, k=rng.randrange(40))) for _ in range(3000)]
+    encode, whole = Encoder(path), Tokenizer.from_file(path)
+    batch = pa.RecordBatch.from_pydict({"n": range(len(texts)), "text": pa.array(texts, pa.string())})
+    got = [(n, ids) for part, made in encode.encode_batch(batch) for n, ids in zip(part["n"].to_pylist(), made)]
+    assert [n for n, _ in got] == list(range(len(texts)))
+    for (_, packed), text in zip(got, texts):
+        want = whole.encode(text or "", add_special_tokens=False).ids + [1]
+        assert np.frombuffer(packed, encode.dtype).tolist() == want, ascii(text)
+    assert encode.encode_column(pa.array([], pa.string())) == []
+
+
 def test_cache_turns_over(monkeypatch):
     monkeypatch.setattr("shopflow.llm.tokens.CACHE_ENTRIES", 20)
     encode, whole = Encoder(BYTE), Tokenizer.from_file(BYTE)
@@ -81,17 +101,38 @@ def test_files_hold_every_document(spark, monkeypatch, chunk):
 
 
 def test_files_with_nulls_and_ties(spark):
-    rows = corpus()
+    rows = corpus() + [(None, None, "en", "a", 0), (None, "one two", "en", "a", 7)] * 3
     got = token_files.token_files(frame(spark, rows), WORD).collect()
-    assert len(got) == len(rows)
-    at = 0
+    whole = Tokenizer.from_file(WORD)
+    want = Counter()
+    for r in rows:
+        ids = whole.encode(r[1] or "", add_special_tokens=False).ids + [1]
+        want[r[0], len(ids), crc(ids)] += 1
+    assert Counter((r.doc_id, r.n_tokens, r.ids_crc32) for r in got) == want
+    at, last = 0, -1
     for r in sorted(got, key=lambda r: r.start):
-        assert r.start == at
-        at += r.n_tokens
+        assert r.start == at and (r.doc_id is None or r.doc_id >= last)
+        at, last = at + r.n_tokens, -1 if r.doc_id is None else r.doc_id
     assert min(got, key=lambda r: r.start).doc_id is None
     assert token_files.token_files(frame(spark, []), WORD).count() == 0
 
 
+def test_hot_ids_are_spread(spark):
+    """A third of the rows without an id, a third of them one row."""
+    ids = F.when(F.col("id") % 3 == 0, None).otherwise(F.col("id"))
+    hash_ = F.when(F.col("id") % 9 == 0, 7).otherwise(F.xxhash64("id"))
+    rows = spark.range(30_000).select(ids.alias("doc_id"), hash_.alias("text_hash"), F.col("id").alias("place"))
+    before = {k: spark.conf.get(k) for k in ("spark.sql.adaptive.enabled", "spark.sql.shuffle.partitions")}
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        sizes = sorted(r[1] for r in token_files.in_order(rows).groupBy(F.spark_partition_id()).count().collect())
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
+    assert sum(sizes) == 30_000 and len(sizes) == 8 and sizes[-1] <= 2 * sizes[3]
+
+
 def test_plan_fills_all_sequences_but_one():
     rng = random.Random(3)
     lengths = [rng.randrange(1, 2048) for _ in range(400)]
