@@ -5,7 +5,7 @@ QUADRATIC * n * n, summed over its pieces: attention is quadratic inside a docum
 masked between documents.
 
 A document longer than a sequence first fills whole sequences of its own; only its tail
-(shorter than a sequence) is packed with others. Tails are dealt by a hash of the document
+(shorter than a sequence) is packed with others. Tails are dealt by a hash of the row's place
 to buckets of a bounded size, and each bucket is packed by itself: as many sequences as its
 tokens need at least, the tails in descending order, each into the sequence of lowest cost
 that has room for it. A tail for which no sequence has room is cut: it fills the cheapest
@@ -13,9 +13,10 @@ open sequence, and the rest of it goes back into the order. So only the last seq
 bucket is not full: with ``BUCKET_BYTES`` of text in a bucket, far less than one percent of
 the tokens are padding.
 
-A bucket is dealt by document, never by source or language, so a hot source is spread
-evenly. Ids travel only for tails; the checksums of whole sequences are made where the text
-is tokenized.
+A bucket is dealt by row, so a hot source is spread evenly, and so are the rows of one id or
+one text. Ids travel only for tails; the checksums of whole sequences are made where the text
+is tokenized. The dealt pieces are stored before they are grouped: a place is given once, and
+a lost executor costs a re-read.
 
 **Edge rows.** A NULL or empty text is a document of one token, the end id. Rows repeated
 under one doc_id are packed as documents of their own. NULL doc_ids are packed like others.
@@ -32,6 +33,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from shopflow.session import stored
+
 from .tokens import encoder
 
 LENGTH = 2048
@@ -71,42 +74,46 @@ def plan(lengths: list[int], room: int = LENGTH) -> list[list[tuple[int, int, in
     return sequences
 
 
-def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
-    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
-    and the estimated cost of the piece. Offsets are gapless within a sequence."""
-    slim = docs.select(F.col("doc_id").cast("long"), "text")
-    size = slim.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
-    buckets = max(1, -(-size // BUCKET_BYTES))
-    bucket = F.pmod(F.xxhash64("doc_id", "text"), F.lit(buckets)).alias("bucket")
+def pieces(docs: DataFrame, tokenizer: str, length: int, buckets: int) -> DataFrame:
+    """Whole sequences (with their checksums) and tails (with their ids), dealt to buckets."""
+    slim = docs.select(
+        F.col("doc_id").cast("long"),
+        "text",
+        F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(buckets)).alias("bucket"),
+    )
+    names = ["bucket", "doc_id", "doc_tokens", "start", "length", "crc", "ids"]
+    kinds = [pa.int64()] * 6 + [pa.binary()]
 
-    def tokenize(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = encoder(tokenizer)
+        width = tokens.dtype.itemsize
         for batch in batches:
-            whole = [batch.column(c).to_pylist() for c in ("doc_id", "text", "bucket")]
-            for at in range(0, len(batch), 256):
-                doc_ids, texts, dealt = (c[at : at + 256] for c in whole)
+            for some, made in tokens.encode_batch(batch):
                 rows = []
-                for doc_id, home, packed in zip(doc_ids, dealt, tokens.encode([t or "" for t in texts])):
-                    ids = np.frombuffer(packed, tokens.dtype)
-                    n = len(ids)
+                for doc_id, home, packed in zip(*(some.column(c).to_pylist() for c in ("doc_id", "bucket")), made):
+                    n = len(packed) // width
                     full = n // length * length
-                    wide = ids[:full].astype("<u4")
-                    for s in range(0, full, length):
-                        rows.append((home, doc_id, n, s, length, zlib.crc32(wide[s : s + length]), None))
+                    if full:
+                        wide = np.frombuffer(packed, tokens.dtype, full).astype("<u4")
+                        for s in range(0, full, length):
+                            rows.append((home, doc_id, n, s, length, zlib.crc32(wide[s : s + length]), None))
                     if full < n:
-                        rows.append((home, doc_id, n, full, n - full, None, ids[full:].tobytes()))
+                        rows.append((home, doc_id, n, full, n - full, None, packed[full * width :]))
                 columns = zip(*rows) if rows else [[]] * 7
-                kinds = [pa.int64()] * 6 + [pa.binary()]
-                names = ["bucket", "doc_id", "doc_tokens", "start", "length", "crc", "ids"]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, k) for c, k in zip(columns, kinds)], names=names
-                )
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=names)
 
-    cut = slim.select("doc_id", "text", bucket).mapInArrow(
-        tokenize,
-        "bucket long, doc_id long, doc_tokens long, start long, length long, crc long, ids binary",
+    return slim.mapInArrow(
+        cut, "bucket long, doc_id long, doc_tokens long, start long, length long, crc long, ids binary"
     )
 
+
+def pack(docs: DataFrame, tokenizer: str, length: int = LENGTH) -> DataFrame:
+    """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset,
+    and the estimated cost of the piece. Offsets are gapless within a sequence."""
+    size = docs.agg(F.sum(F.octet_length("text") + 1)).first()[0] or 0
+    buckets = max(1, -(-size // BUCKET_BYTES))
+    cut = stored(pieces(docs, tokenizer, length, buckets), "packing-pieces")
+
     def fill(table: pa.Table) -> pa.Table:
         dtype = encoder(tokenizer).dtype
         rows = sorted(

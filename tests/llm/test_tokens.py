@@ -178,7 +178,39 @@ def test_pieces_cover_every_document_once(spark, monkeypatch, bucket):
 
 
 def test_packing_odd_rows(spark):
-    rows = corpus()
+    """NULL ids, repeated rows and two texts under an id: every piece belongs to one of them."""
+    rows = corpus() + [(None, None, "en", "a", 0), (None, "one two", "en", "a", 7)] * 3
     got = packing.pack(frame(spark, rows), BYTE).collect()
-    assert sum(p.length for p in got if p.start == 0) and {p.doc_id for p in got} == {r[0] for r in rows}
+    whole = Tokenizer.from_file(BYTE)
+    texts = {(r[0], r[1] or ""): whole.encode(r[1] or "", add_special_tokens=False).ids + [1] for r in rows}
+    cuts: dict[tuple, Counter] = {}  # tokens each document's pieces cover, place by place
+    for p in got:
+        owners = [
+            key
+            for key, ids in texts.items()
+            if key[0] == p.doc_id
+            and len(ids) == p.doc_tokens
+            and crc(ids[p.start : p.start + p.length]) == p.ids_crc32
+        ]
+        assert len(owners) == 1, p
+        cover = cuts.setdefault(owners[0], Counter())
+        cover.update(range(p.start, p.start + p.length))
+    repeats = Counter((r[0], r[1] or "") for r in rows)
+    assert cuts.keys() == texts.keys()
+    for key, cover in cuts.items():
+        assert cover == Counter({i: repeats[key] for i in range(len(texts[key]))})
+    places = sorted((p.sequence_id, p.offset, p.length) for p in got)
+    for (a, at, n), (b, then, _) in zip(places, places[1:]):
+        assert then == (at + n if a == b else 0)
     assert packing.pack(frame(spark, []), BYTE).count() == 0
+
+
+def test_repeated_rows_are_spread(spark):
+    """A third of the rows are one row; no bucket holds more than twice the median."""
+    rows = spark.range(9_000).select(
+        F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, "same text").otherwise(F.concat(F.lit("text "), "id")).alias("text"),
+    )
+    dealt = packing.pieces(rows, BYTE, 2048, 8).groupBy("bucket").count().collect()
+    sizes = sorted(r["count"] for r in dealt)
+    assert sum(sizes) == 9_000 and len(sizes) == 8 and sizes[-1] <= 2 * sizes[3]
