@@ -48,6 +48,7 @@ PERCENTILE = 90
 CHUNK_IDS = 1 << 17
 _HEAD = struct.Struct("<4sII")
 _BLOCK_HEAD = struct.Struct("<IBH")
+_BLOCK_TYPE = np.dtype([("least", "<u4"), ("width", "u1"), ("exceptions", "<u2")])  # the same, packed
 
 CHUNKS = "part int, first long, n_ids long, doc_ids array<long>, lengths array<int>, payload binary"
 
@@ -78,36 +79,44 @@ def _unpacked_bits(packed: np.ndarray, width: int) -> np.ndarray:
     return np.packbits(bits.reshape(len(packed), -1), axis=1, bitorder="little").view(kind)
 
 
+def _spread(starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+    """The indices start, start + 1, ... of every run, one run after the other."""
+    before = np.cumsum(sizes) - sizes
+    return np.repeat(starts - before, sizes) + np.arange(int(sizes.sum()))
+
+
 def pack(ids: np.ndarray) -> bytes:
     """The payload for a sequence of ids."""
     n = len(ids)
     blocks = -(-n // BLOCK)
+    if not n:
+        return _HEAD.pack(b"PFR1", 0, 0)
     padded = np.zeros(blocks * BLOCK, np.uint32)
     padded[:n] = ids
-    if n:
-        padded[n:] = ids[-1]
+    padded[n:] = ids[-1]
     grid = padded.reshape(blocks, BLOCK)
-    least = grid.min(axis=1) if blocks else np.zeros(0, np.uint32)
+    least = grid.min(axis=1)
     away = grid - least[:, None]
     at = (BLOCK - 1) * PERCENTILE // 100
-    typical = np.partition(away, at, axis=1)[:, at] if blocks else least
+    typical = np.partition(away, at, axis=1)[:, at]
     width = np.ceil(np.log2(typical.astype(np.float64) + 1)).astype(np.int64)
-    made: list[bytes] = [b""] * blocks
+    high = (away.astype(np.uint64) >> width.astype(np.uint64)[:, None]).astype("<u4")
+    block, position = np.nonzero(high)
+    exceptions = np.bincount(block, minlength=blocks)
+    sizes = _BLOCK_HEAD.size + 5 * exceptions + width * (BLOCK // 8)
+    starts = np.cumsum(sizes) - sizes
+    out = np.empty(int(sizes.sum()), np.uint8)
+    head = np.zeros(blocks, _BLOCK_TYPE)
+    head["least"], head["width"], head["exceptions"] = least, width, exceptions
+    out[starts[:, None] + np.arange(_BLOCK_HEAD.size)] = head.view(np.uint8).reshape(blocks, -1)
+    place = starts + _BLOCK_HEAD.size
+    out[_spread(place, exceptions)] = position
+    out[_spread(place + exceptions, 4 * exceptions)] = high[block, position].view(np.uint8)
+    place += 5 * exceptions
     for w in np.unique(width).tolist():
         chosen = np.flatnonzero(width == w)
-        some = away[chosen]
-        low = _packed_bits(some, w)
-        high = (some.astype(np.uint64) >> np.uint64(w)).astype(np.uint32)
-        for i, block in enumerate(chosen.tolist()):
-            at = np.flatnonzero(high[i])
-            made[block] = (
-                _BLOCK_HEAD.pack(least[block], w, len(at))
-                + at.astype(np.uint8).tobytes()
-                + high[i, at].astype("<u4").tobytes()
-                + low[i].tobytes()
-            )
-    starts = np.cumsum([0, *map(len, made)][:blocks], dtype=np.uint32) if blocks else np.zeros(0)
-    return _HEAD.pack(b"PFR1", n, blocks) + starts.astype("<u4").tobytes() + b"".join(made)
+        out[place[chosen, None] + np.arange(w * BLOCK // 8)] = _packed_bits(away[chosen], w)
+    return _HEAD.pack(b"PFR1", n, blocks) + starts.astype("<u4").tobytes() + out.tobytes()
 
 
 def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarray:
@@ -118,35 +127,22 @@ def unpack(payload: bytes, first: int = 0, last: int | None = None) -> np.ndarra
     last = n if last is None else min(last, n)
     if first >= last:
         return np.zeros(0, np.uint32)
-    starts = np.frombuffer(payload, "<u4", blocks, _HEAD.size)
     body = _HEAD.size + 4 * blocks
     low, high = first // BLOCK, -(-last // BLOCK)
-    out = np.empty((high - low, BLOCK), np.uint32)
-    by_width: dict[int, list[tuple[int, int]]] = {}
-    patches = []
-    least = np.empty(high - low, np.uint32)
-    for i in range(low, high):
-        at = body + int(starts[i])
-        least[i - low], width, exceptions = _BLOCK_HEAD.unpack_from(payload, at)
-        at += _BLOCK_HEAD.size
-        if exceptions:
-            patches.append(
-                (
-                    i - low,
-                    width,
-                    np.frombuffer(payload, np.uint8, exceptions, at),
-                    np.frombuffer(payload, "<u4", exceptions, at + exceptions),
-                )
-            )
-        by_width.setdefault(width, []).append((i - low, at + 5 * exceptions))
+    place = body + np.frombuffer(payload, "<u4", high - low, _HEAD.size + 4 * low).astype(np.int64)
     whole = np.frombuffer(payload, np.uint8)
-    for width, found in by_width.items():
-        rows = np.array([i for i, _ in found])
-        size = width * BLOCK // 8
-        packed = whole[np.array([at for _, at in found])[:, None] + np.arange(size)]
-        out[rows] = _unpacked_bits(packed, width)
-    for i, width, at, high_part in patches:
-        out[i, at] |= (high_part.astype(np.uint64) << np.uint64(width)).astype(np.uint32)
+    head = whole[place[:, None] + np.arange(_BLOCK_HEAD.size)].view(_BLOCK_TYPE).reshape(-1)
+    least, widths = head["least"], head["width"]
+    exceptions = head["exceptions"].astype(np.int64)
+    place += _BLOCK_HEAD.size
+    out = np.empty((high - low, BLOCK), np.uint32)
+    for width in np.unique(widths).tolist():
+        rows = np.flatnonzero(widths == width)
+        at = place[rows] + 5 * exceptions[rows]
+        out[rows] = _unpacked_bits(whole[at[:, None] + np.arange(width * BLOCK // 8)], width)
+    rows = np.repeat(np.arange(high - low), exceptions)
+    more = whole[_spread(place + exceptions, 4 * exceptions)].view("<u4").astype(np.uint64)
+    out[rows, whole[_spread(place, exceptions)]] |= (more << widths[rows].astype(np.uint64)).astype(np.uint32)
     out += least[:, None]
     return out.reshape(-1)[first - low * BLOCK : last - low * BLOCK]
 
