@@ -7,8 +7,8 @@ judged on the input, so what is removed elsewhere does not matter.
 **Shards.** Any equal windows have the same anchor: the ``ANCHOR`` words with the least
 hash in the window, the leftmost such. A document is cut into segments, each the run of
 windows with one anchor, and only anchors found in two documents matter. Equal segments
-are folded to one, with the smallest doc_id. Segments are dealt to reference shards by
-anchor; a shard's suffix automaton is built over its distinct segments and carries, for
+are folded to one, with the smallest doc_id, by a digest of their words; only that one copy is
+read again as text. Segments are dealt to reference shards by anchor; a shard's suffix automaton is built over its distinct segments and carries, for
 every state, the smallest doc_id whose text reaches it. The segments then stream through
 their shard's automaton for matching statistics: where the match is at least a window long,
 the state of that window's length gives the smallest document with the window, and runs of
@@ -55,7 +55,8 @@ ROWS = (
     "doc_id long, me long, text_key long, n_words long, sha string, "
     "anchors array<struct<anchor:long,first:int,last:int>>"
 )
-SEGMENTS = "anchor long, segment string, first int, me long, text_key long"
+PLACES = "anchor long, digest binary, first int, last int, me long, text_key long"
+SEGMENTS = "anchor long, digest binary, segment binary, owner long"
 
 
 class _Hashes(dict):
@@ -137,52 +138,69 @@ def _scan(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(run, ROWS)
 
 
-def _segments(shared: DataFrame) -> DataFrame:
-    """Segments of the documents around anchors that other documents have as well."""
+def _run_text(found: list[bytes], run: dict) -> bytes:
+    """The words of a run of windows."""
+    return b" ".join(found[run["first"] : run["last"] + WINDOW - 1])
+
+
+def _once(batch: pa.RecordBatch, seen: set) -> Iterator[tuple[list[bytes], int, int, list]]:
+    """(words, me, text_key, runs) of the rows whose key this task has not met yet."""
+    columns = batch.select([*KEY, "runs"]).to_pydict()
+    for found, me, key, runs in zip(_words(batch), *columns.values()):
+        if (me, key) not in seen:
+            seen.add((me, key))
+            yield found, me, key, runs
+
+
+def _places(texts: DataFrame, finer: int | None = None) -> DataFrame:
+    """Where the segments of ``runs`` are, and the digest of each segment's words.
+
+    With ``finer``, the same windows in shorter segments, by anchors of that many words.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for batch in batches:
-            columns = batch.select([*KEY, "runs"]).to_pydict()
             made = []
-            for found, me, key, runs in zip(_words(batch), *columns.values()):
-                for r in runs:
-                    text = b" ".join(found[r["first"] : r["last"] + WINDOW - 1])
-                    made.append((r["anchor"], text, r["first"], me, key))
-            yield _segment_batch(made)
+            for found, me, key, runs in _once(batch, seen):
+                for r in _shorter(found, runs, finer) if finer else runs:
+                    digest = hashlib.md5(_run_text(found, r)).digest()
+                    made.append((r["anchor"], digest, r["first"], r["last"], me, key))
+            yield _batch(made, PLACES)
 
-    return shared.mapInArrow(run, SEGMENTS)
+    return texts.mapInArrow(run, PLACES)
 
 
-def _segment_batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows)) if rows else [[]] * 5
-    segment = pa.array(columns[1], pa.binary()).cast(pa.string())
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(columns[0], pa.int64()),
-            segment,
-            pa.array(columns[2], pa.int32()),
-            pa.array(columns[3], pa.int64()),
-            pa.array(columns[4], pa.int64()),
-        ],
-        names=["anchor", "segment", "first", *KEY],
-    )
+def _shorter(found: list[bytes], runs: list[dict], size: int) -> Iterator[dict]:
+    for r in runs:
+        hashes = _hashed(found[r["first"] : r["last"] + WINDOW - 1])
+        for h, low, high in zip(*anchors(hashes, size, WINDOW)):
+            mixed = (int(h) ^ (r["anchor"] * 0x9E3779B97F4A7C15)) & ((1 << 64) - 1)
+            yield {"anchor": mixed - (1 << 63), "first": r["first"] + int(low), "last": r["first"] + int(high)}
 
 
-def _cut_again(segments: DataFrame, size: int) -> DataFrame:
-    """The same windows in shorter segments, by anchors of ``size`` words."""
+def _segments(texts: DataFrame) -> DataFrame:
+    """The words of the segments of ``runs``, each with the document it is read from."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
         for batch in batches:
-            columns = batch.select(["anchor", "first", *KEY]).to_pydict()
             made = []
-            for found, anchor, first, me, key in zip(_words(batch, "segment"), *columns.values()):
-                for h, low, high in zip(*anchors(_hashed(found), size, WINDOW)):
-                    mixed = (int(h) ^ (anchor * 0x9E3779B97F4A7C15)) & ((1 << 64) - 1)
-                    text = b" ".join(found[low : high + WINDOW - 1])
-                    made.append((mixed - (1 << 63), text, first + int(low), me, key))
-            yield _segment_batch(made)
+            for found, me, _, runs in _once(batch, seen):
+                made += [(r["anchor"], r["digest"], _run_text(found, r), me) for r in runs]
+            yield _batch(made, SEGMENTS)
+
+    return texts.mapInArrow(run, SEGMENTS)
 
-    return segments.mapInArrow(run, SEGMENTS)
+
+ARROW = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary()}
+
+
+def _batch(rows: list[tuple], schema: str) -> pa.RecordBatch:
+    names, kinds = zip(*(field.split(" ") for field in schema.split(", ")))
+    columns = list(zip(*rows)) if rows else [[]] * len(names)
+    arrays = [pa.array(c, ARROW[kind]) for c, kind in zip(columns, kinds)]
+    return pa.RecordBatch.from_arrays(arrays, names=list(names))
 
 
 class SuffixAutomaton:
@@ -255,16 +273,17 @@ class SuffixAutomaton:
         return made
 
 
-FOUND = "segment_key binary, runs array<struct<at:int,windows:int,owner:long>>"
+FOUND = "digest binary, runs array<struct<at:int,windows:int,owner:long>>"
 
 
 def _judge(table: pa.Table) -> pa.Table:
     """Build the automaton of one shard and stream the shard's segments through it."""
     ids: dict[bytes, int] = {}
-    texts = table.column("segment").cast(pa.binary()).to_pylist()
-    sequences = [[ids.setdefault(w, len(ids)) for w in text.split()] for text in texts]
+    # a repeated row may have been read by several tasks: one segment is enough
+    segments = {d: (text, owner) for d, text, owner in zip(*(table.column(c).to_pylist() for c in ("digest", "segment", "owner")))}
+    sequences = [[ids.setdefault(w, len(ids)) for w in text.split(b" ")] for text, _ in segments.values()]
     automaton = SuffixAutomaton()
-    for words, owner in zip(sequences, table.column("owner").to_pylist()):
+    for words, (_, owner) in zip(sequences, segments.values()):
         automaton.add(words, owner)
     automaton.settle()
     made = []
@@ -281,36 +300,51 @@ def _judge(table: pa.Table) -> pa.Table:
     kind = pa.list_(pa.struct([("at", pa.int32()), ("windows", pa.int32()), ("owner", pa.int64())]))
     return pa.table(
         [
-            pa.array([hashlib.md5(t).digest() for t in texts], pa.binary()),
+            pa.array(list(segments), pa.binary()),
             pa.array(made, kind),
         ],
-        names=["segment_key", "runs"],
+        names=["digest", "runs"],
     )
 
 
-def _spans(segments: DataFrame) -> DataFrame:
-    """(me, text_key, first, last) runs of windows to remove, of the rows of ``segments``."""
-    parts = []
+def _with_runs(affected: DataFrame, chosen: DataFrame, *fields: str) -> tuple[DataFrame, DataFrame]:
+    """The texts of ``affected`` with their runs of ``chosen``, and the stored runs."""
+    by_row = chosen.groupBy(*KEY).agg(F.collect_set(F.struct(*fields)).alias("runs"))
+    by_row = stored(by_row, "substring-runs")  # rows repeated very often can be split in the join
+    return affected.select(*KEY, "text").join(by_row, KEY), by_row
+
+
+def _spans(affected: DataFrame) -> DataFrame:
+    """(me, text_key, runs) of windows to remove, of the rows of ``affected``; stored.
+
+    Segments travel as digests. Only one copy of each distinct segment is read again as words,
+    from its smallest document, for the automaton of its shard.
+    """
+    spark = affected.sparkSession
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts, used = [], []
+    places = stored(_places(affected), "substring-places")
     for finer in (*FINER, None):
-        distinct = stored(
-            segments.groupBy("anchor", "segment").agg(F.min("me").alias("owner")), "substring-distinct"
-        )
-        release(segments.sparkSession)
+        least = F.min(F.struct("me", "text_key", "first", "last")).alias("held")
+        distinct = stored(places.groupBy("anchor", "digest").agg(least).select("anchor", "digest", "held.*"), "substring-distinct")
+        release(spark)
         # stored, so that the joins below have plain inputs and a hot anchor can be split
         hot = distinct.groupBy("anchor").count().where(F.col("count") > SHARD_SEGMENTS).select("anchor")
         hot = stored(hot, "substring-hot")
         last = finer is None or hot.isEmpty()
-        usual = segments if last else segments.join(hot, "anchor", "left_anti")
+        usual = places if last else places.join(hot, "anchor", "left_anti")
         reference = distinct if last else distinct.join(hot, "anchor", "left_anti")
         shards = max(1, -(-reference.count() // SHARD_SEGMENTS))
         shard = F.pmod(F.xxhash64("anchor"), F.lit(shards)).alias("shard")
+        texts, chosen = _with_runs(affected, reference, "anchor", "digest", "first", "last")
         # building automata is work, not bytes: adaptive execution would merge the shards
-        tasks = int(segments.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-        dealt = reference.select("segment", "owner", shard).repartition(max(tasks, min(shards, 4 * tasks)), "shard")
-        judged = dealt.groupBy("shard").applyInArrow(_judge, FOUND)
-        places = usual.select(*KEY, "first", F.unhex(F.md5("segment")).alias("segment_key"))
+        dealt = _segments(texts).select("digest", "segment", "owner", shard)
+        dealt = dealt.repartition(max(tasks, min(shards, 4 * tasks)), "shard")
+        judged = stored(dealt.groupBy("shard").applyInArrow(_judge, FOUND), "substring-judged")
+        release(spark)
         parts.append(
-            places.join(judged, "segment_key")
+            usual.select(*KEY, "first", "digest")
+            .join(judged, "digest")
             .select(*KEY, "first", F.explode("runs").alias("run"))
             .where("run.owner < me")
             .select(
@@ -319,13 +353,19 @@ def _spans(segments: DataFrame) -> DataFrame:
                 (F.col("first") + F.col("run.at") + F.col("run.windows")).alias("last"),
             )
         )
+        used += [places, distinct, hot, chosen, judged]
         if last:
             break
-        segments = stored(_cut_again(segments.join(hot, "anchor", "left_semi"), finer), "substring-finer")
+        texts, chosen = _with_runs(affected, places.join(hot, "anchor", "left_semi"), "anchor", "first", "last")
+        places = stored(_places(texts, finer), "substring-finer")
+        discard(chosen)
     spans = parts[0]
     for part in parts[1:]:
         spans = spans.union(part)
-    return spans.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("runs"))
+    spans = stored(spans.groupBy(*KEY).agg(F.collect_set(F.struct("first", "last")).alias("runs")), "substring-spans")
+    discard(*used)
+    release(spark)
+    return spans
 
 
 def _keep(texts: DataFrame) -> DataFrame:
@@ -370,7 +410,8 @@ def _affected(slim: DataFrame, marked: DataFrame) -> DataFrame:
     shared = stored(both.where("low < high").select("anchor"), "substring-shared")
     runs = runs.withColumn("place", F.struct("anchor", "first", "last"))
     by_row = runs.join(shared, "anchor").groupBy(*KEY).agg(F.collect_set("place").alias("runs"))
-    by_row = stored(by_row, "substring-places")  # rows repeated very often can be split below
+    by_row = stored(by_row, "substring-anchors")  # rows repeated very often can be split below
+    release(slim.sparkSession)
     affected = stored(slim.select(*KEY, "text").join(by_row, KEY), "substring-affected")
     discard(shared, by_row)
     return affected
@@ -387,10 +428,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     copied = _copied(rows)
     affected = _affected(slim, _marked(rows, copied))
     release(spark)
-    segments = stored(_segments(affected), "substring-segments")
-    spans = stored(_spans(segments), "substring-spans")
-    discard(segments)
-    release(spark)
+    spans = _spans(affected)
     # rows wholly equal in id and text have equal results: one of them is enough
     left = stored(_keep(affected.drop("runs").join(spans, KEY)).distinct(), "substring-left")
     discard(affected, spans)
