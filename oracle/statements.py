@@ -478,6 +478,7 @@ FROM (SELECT *, max(users) FILTER (WHERE period_offset = 0) OVER (PARTITION BY c
             JOIN (SELECT user_id, CAST(date_trunc('week', min(event_date)) AS DATE) AS cohort
                   FROM fact WHERE event_type = 'purchase' GROUP BY user_id) USING (user_id)
             GROUP BY 1, 2))""",
+    "merged_small_files": "SELECT * FROM fact",
     "interleaved_fact": "SELECT * FROM fact",
     "interleaved_skipping": "SELECT count(DISTINCT product_id) AS products, true AS at_most_half FROM fact",
     "file_overlap": f"""

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
-from ..session import stored
+from ..session import discard, stored
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 FACT_KEYS = ("event_date", "product_id")
@@ -175,6 +175,105 @@ def compact(
     return files
 
 
+WORK = "_compaction"  # readers skip folders that start with an underscore
+
+
+def _folder(spark: SparkSession, path: str):
+    """A function that makes paths below a folder, and their file system."""
+    made = spark._jvm.org.apache.hadoop.fs.Path
+    return (lambda *parts: made("/".join([path, *parts]))), made(path).getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def _sum_before(table: DataFrame, order: Sequence[str], value: str, name: str, label: str) -> DataFrame:
+    """The rows, and the sum of ``value`` over all rows before each in an order without ties.
+
+    Rows are range-partitioned; the only window without a partition is over one row per range.
+    """
+    dealt = stored(table.repartitionByRange(*order).withColumn("_slice", F.spark_partition_id()), label)
+    earlier = Window.rowsBetween(Window.unboundedPreceding, -1)
+    slices = dealt.groupBy("_slice").agg(F.sum(value).alias("_sum"))
+    slices = slices.select("_slice", F.sum("_sum").over(earlier.orderBy("_slice")).alias("_slices_before"))
+    inside = F.sum(value).over(earlier.partitionBy("_slice").orderBy(*order))
+    total = F.coalesce(inside, F.lit(0)) + F.coalesce("_slices_before", F.lit(0))
+    return dealt.withColumn("_inside", inside).join(slices, "_slice").withColumn(name, total).drop("_slice", "_inside", "_slices_before")
+
+
+def merge_groups(files: DataFrame, target_bytes: int, least_files: int = 2) -> DataFrame:
+    """(file, group) of the files to merge, from ``files`` (file, bytes, lo).
+
+    Neighbours in the order of ``lo`` share a group until it holds ``target_bytes``; a group of
+    fewer than ``least_files`` files is left alone. Groups are numbered in key order.
+    """
+    before = _sum_before(files, ("lo", "file"), "bytes", "_before", "compaction-order")
+    grouped = before.select("file", F.floor(F.col("_before") / target_bytes).cast("int").alias("group"))
+    enough = grouped.groupBy("group").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least_files)
+    return grouped.join(enough.select("group"), "group").select("file", "group")
+
+
+def finish_compaction(spark: SparkSession, path: str) -> None:
+    """Complete a compaction that died while files were swapped, or forget one that had not
+    written all its files. Every step can be repeated."""
+    at, system = _folder(spark, path)
+    if system.exists(at(WORK, "plan", "_SUCCESS")):
+        system.mkdirs(at(WORK, "old"))
+        # names of the merged files, which the file system takes one by one
+        for row in spark.read.parquet(f"{path}/{WORK}/plan").toLocalIterator():
+            if system.exists(at(row["file"])) and not system.rename(at(row["file"]), at(WORK, "old", row["file"])):
+                raise OSError(f"{path}/{row['file']} could not be moved")
+        for status in system.listStatus(at(WORK, "new")):
+            name = status.getPath().getName()
+            if name.endswith(".parquet") and not system.rename(at(WORK, "new", name), at(name)):
+                raise OSError(f"{path}/{WORK}/new/{name} could not be moved")
+    system.delete(at(WORK), True)
+
+
+def compact_small(
+    spark: SparkSession,
+    path: str,
+    keys: Sequence[str] = (),
+    target_bytes: int = TARGET_FILE_BYTES,
+    small_bytes: int | None = None,
+    least_files: int = 2,
+) -> int:
+    """Merge the small files of a Parquet folder in place; returns how many were merged.
+
+    Files of ``small_bytes`` (half the target) or more are neither read nor renamed. Small files
+    that are neighbours by their least ``keys`` become one file of about the target size, sorted
+    by the keys; a task writes one group, so it holds less than one and a half targets.
+
+    The new files are written beside the table, then the list of the old ones, which commits the
+    merge, then files are moved. A run that dies is completed or forgotten by the next one. The
+    caller is the only writer; during the moves a reader can miss rows, but reads none twice.
+    Folders with partitions, and those whose files a stream's log names, are refused.
+    """
+    finish_compaction(spark, path)
+    at, system = _folder(spark, path)
+    for status in system.listStatus(at()):
+        name = status.getPath().getName()
+        if name == "_spark_metadata" or (status.isDirectory() and name[0] not in "_."):
+            raise ValueError(f"{path} is not a plain folder of files: {name}")
+    if not any(status.getPath().getName().endswith(".parquet") for status in system.listStatus(at())):
+        return 0
+    limit = target_bytes // 2 if small_bytes is None else small_bytes
+    # the condition on the size prunes files before any is opened
+    small = spark.read.option("mergeSchema", True).parquet(path).where(F.col("_metadata.file_size") < limit)
+    files = small.groupBy(F.col("_metadata.file_name").alias("file")).agg(
+        F.first("_metadata.file_size").alias("bytes"), F.min(F.struct(F.lit(0).alias("_"), *keys)).alias("lo")
+    )
+    plan = stored(merge_groups(files, target_bytes, least_files), "compaction-plan")
+    merged, most = plan.agg(F.count(F.lit(1)), F.max("group")).first()
+    if merged:
+        rows = small.withColumn("_file", F.col("_metadata.file_name"))
+        rows = rows.join(plan.withColumnRenamed("file", "_file").withColumnRenamed("group", "_group"), "_file")
+        dealt = rows.repartitionById(most + 1, "_group")
+        dealt = dealt.sortWithinPartitions(*keys) if keys else dealt
+        dealt.drop("_file", "_group").write.mode("overwrite").parquet(f"{path}/{WORK}/new")
+        plan.write.parquet(f"{path}/{WORK}/plan")
+        finish_compaction(spark, path)
+    discard(plan)
+    return merged
+
+
 def analyze(spark: SparkSession, name: str) -> None:
     """Column statistics for the cost-based optimizer."""
     columns = ", ".join(STATISTICS_COLUMNS[name])

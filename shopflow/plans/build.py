@@ -26,6 +26,8 @@ from .views import create_views
 
 # gold tables are independent of each other; small ones would leave a cluster idle
 CONCURRENT_TABLES = 4
+# the metric history is merged when it has this many small files
+HISTORY_KEYS, HISTORY_FILES = ("snapshot_ts", "metric_name"), 8
 
 
 @dataclass(frozen=True)
@@ -140,6 +142,9 @@ def record_drift(
     else:
         others = history.where(~F.col("run_id").eqNullSafe(run_id))
         tables.replace_table(others.unionByName(current), "ops.metrics_history", root, version)
+    # every run appends a few rows in files of their own
+    layout.compact_small(spark, tables.location(spark, "ops.metrics_history"), HISTORY_KEYS, least_files=HISTORY_FILES)
+    spark.catalog.refreshTable("ops.metrics_history")
     return drift.metric_drift(current, previous, threshold)
 
 

@@ -203,6 +203,18 @@ def _compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _with_plain_ids(spark.read.parquet(large))
 
 
+def _merged_small(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact after its late half, in many small files, is merged beside the early one."""
+    path = fresh_path(spark, "merged")
+    fact = layers(spark, sf_dir).fact_events
+    late = F.coalesce(F.dayofmonth("event_date") > 15, F.lit(False))
+    layout.clustered(fact.where(~late), files=2).write.parquet(path)
+    large = layout.stored_bytes(spark, path)
+    layout.clustered(fact.where(late), files=SKIPPING_FILES).write.mode("append").parquet(path)
+    layout.compact_small(spark, path, layout.FACT_KEYS, target_bytes=large // 4)
+    return _with_plain_ids(spark.read.parquet(path))
+
+
 def _interleaved(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "interleaved")
     layout.interleaved(layers(spark, sf_dir).fact_events).write.parquet(path)
@@ -323,6 +335,7 @@ QUERIES: dict[str, Query] = {
     "pii_inventory": lambda spark, d: governance.pii_inventory(platform_data.tags(spark, d)),
     "clustered_fact": _clustered,
     "compacted_fact": _compacted,
+    "merged_small_files": _merged_small,
     "interleaved_fact": _interleaved,
     "interleaved_skipping": _skipping,
     "file_overlap": _file_overlap,

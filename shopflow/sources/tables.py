@@ -48,8 +48,12 @@ def replace_bucketed(
     Joins and groupings that contain the keys read it without a shuffle.
     """
     spark = table.sparkSession
-    coming = f"{name}__next"  # readers keep the old version until the new one is complete
-    spark.sql(f"DROP TABLE IF EXISTS {coming}")
+    # readers keep the old version until the new one is complete
+    coming, former = f"{name}__next", f"{name}__former"
+    if spark.catalog.tableExists(former) and not spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {former} RENAME TO {name}")  # a run died between the two renames
+    for entry in (coming, former):
+        spark.sql(f"DROP TABLE IF EXISTS {entry}")  # external: files stay
     (
         table.repartition(buckets, *keys)
         .write.mode("errorifexists")
@@ -58,8 +62,10 @@ def replace_bucketed(
         .option("path", f"{root}/{name.replace('.', '/')}/{version}")
         .saveAsTable(coming)
     )
-    spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the old version's files stay
+    if spark.catalog.tableExists(name):
+        spark.sql(f"ALTER TABLE {name} RENAME TO {former}")
     spark.sql(f"ALTER TABLE {coming} RENAME TO {name}")
+    spark.sql(f"DROP TABLE IF EXISTS {former}")
     return spark.table(name)
 
 
@@ -67,6 +73,12 @@ def append(table: DataFrame, name: str) -> None:
     table.write.mode("append").insertInto(name)
 
 
+def location(spark: SparkSession, name: str) -> str:
+    """The folder of a stored table."""
+    described = spark.sql(f"DESCRIBE FORMATTED {name}").where("col_name = 'Location'")
+    return described.first()["data_type"]
+
+
 def create_view(table: DataFrame, name: str) -> None:
     table.createOrReplaceTempView(name)
 

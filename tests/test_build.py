@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from shopflow.operators import descriptive, drift, layout
+from shopflow.plans import build
 from shopflow.plans.build import build_all
 from shopflow.plans.layers import GOLD
 from shopflow.sources.raw_csv import read_raw, write_raw
@@ -118,7 +119,8 @@ def test_compaction_keeps_the_ranges_apart(spark, runs, tmp_path):
     assert all(a["hi"] <= b["lo"] for a, b in zip(ranges, ranges[1:]))
 
 
-def test_a_run_can_be_repeated_with_other_metrics_and_limits(spark, runs):
+def test_a_run_can_be_repeated_with_other_metrics_and_limits(spark, runs, monkeypatch):
+    monkeypatch.setattr(build, "HISTORY_FILES", 2)
     raw, _, second = runs
     root = raw.rsplit("/", 1)[0]
     metrics = {**drift.METRICS, "days": drift.Metric("daily_metrics", lambda: F.count(F.lit(1)))}
@@ -132,6 +134,7 @@ def test_a_run_can_be_repeated_with_other_metrics_and_limits(spark, runs):
     history = spark.table("ops.metrics_history")
     assert history.count() == 21 and history.where("run_id = 'r2'").count() == 11
     assert "days" in {r["metric_name"] for r in again.drift.collect()}
+    assert len(history.inputFiles()) == 1  # its small files are merged
 
 
 def test_clustered_fact_keeps_dates_together(spark, runs):
