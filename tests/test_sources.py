@@ -2,6 +2,8 @@ from __future__ import annotations
 
 import shutil
 
+import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from shopflow.schemas import BRONZE_EVENTS, METRICS_HISTORY, RAW_COLUMNS
@@ -94,3 +96,15 @@ def test_create_append_and_view(spark, tmp_path):
     assert spark.table("ops.history_test").count() == 1
     tables.create_view(spark.table("ops.history_test"), "history_view")
     assert spark.sql("SELECT value FROM history_view").first()[0] == 1.0
+
+
+def test_a_died_swap_of_a_bucketed_table_loses_neither_version(spark, tmp_path):
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS swapped LOCATION '{tmp_path / 'db'}'")
+    root, name = str(tmp_path / "lake"), "swapped.numbers"
+    tables.replace_bucketed(spark.range(10), name, root, "v1", ["id"], 2)
+    spark.sql(f"ALTER TABLE {name} RENAME TO {name}__former")  # died between the renames
+    with pytest.raises(AnalysisException):  # the next run fails as well: its folder exists
+        tables.replace_bucketed(spark.range(30), name, root, "v1", ["id"], 2)
+    assert spark.table(name).count() == 10
+    assert tables.replace_bucketed(spark.range(30), name, root, "v2", ["id"], 2).count() == 30
+    assert "numbers__former" not in {t.name for t in spark.catalog.listTables("swapped")}
