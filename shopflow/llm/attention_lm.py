@@ -20,8 +20,8 @@ often each id stands behind and before each class, hence the clusters, the share
 neighbouring classes from which the network starts. Then ``ROUNDS`` rounds
 of training: each task takes the round's windows of its rows through its own copy of the
 parameters, and the copies are averaged, weighted by tokens (in Spark, as exact decimals, so
-the order of arrival does not matter). Gradient steps use every training document but one of
-``SHARE`` of its windows; counts use everything. The amount of all of it grows with the corpus.
+the order of arrival does not matter). Counts use everything, and gradient steps take every window
+of every training document, each in one round. The amount of all of it grows with the corpus.
 
 **Scoring on Spark.** Tasks score all ids in windows. Word counts reach them for the
 at most ``HOT_WORDS`` most frequent words (a bounded table; words above ``LONGEST_HOT`` ids stay out).
@@ -62,7 +62,6 @@ PULL = 20  # weight of an id's plain share against its counts behind a class
 WIDTH = 16
 STRIDE = 16
 ROUNDS = 4
-SHARE = 8
 RATE = 0.01
 BATCH = 128  # windows per step of training
 SCORED = 64  # windows scored together: their arrays stay in a core's cache
@@ -363,10 +362,10 @@ def classes_with_end(class_of: np.ndarray, size: int) -> np.ndarray:
     return np.append(class_of[:size], class_of[END])
 
 
-def _trained(training: DataFrame, class_of: np.ndarray, values: np.ndarray, turn: int) -> np.ndarray:
-    """One round: every task's own training from the same values, then their average."""
+def _trained(training: DataFrame, class_of: np.ndarray, values: np.ndarray, turn: int) -> tuple[np.ndarray, int]:
+    """One round: every task's own training from the same values, then their average, and the
+    number of ids and ends it learned from. Every window belongs to one of the rounds."""
     small = class_of.astype(np.uint8)
-    every = ROUNDS * SHARE
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         trainer = net.Trainer(net.unflat(values, CLASSES, WIDTH, STRIDE), STRIDE, RATE / 2**turn)
@@ -374,7 +373,7 @@ def _trained(training: DataFrame, class_of: np.ndarray, values: np.ndarray, turn
             texts = _Texts(batch)
             classes = small[texts.ids]
             found = net.Windows(texts.starts, texts.lengths, STRIDE)
-            mine = np.flatnonzero((found.number + batch.column("uid").to_numpy()[found.text]) % every == turn)
+            mine = np.flatnonzero((found.number + batch.column("uid").to_numpy()[found.text]) % ROUNDS == turn)
             for at in range(0, len(mine), BATCH):
                 w = found.at(mine[at : at + BATCH])
                 trainer.step(classes[w.places], w.first, classes[w.places[:, STRIDE:] + 1], w.real)
@@ -394,7 +393,7 @@ def _trained(training: DataFrame, class_of: np.ndarray, values: np.ndarray, turn
     made = values.copy()
     for row in rows:
         made[row.at] = float(row.value) / float(row.weight) / (1 << 20)
-    return made
+    return made, int(rows[0].weight) if rows else 0
 
 
 @dataclass
@@ -410,6 +409,7 @@ class Model:
     class_of: np.ndarray
     share: np.ndarray  # log10 of an id's share of its class behind each class
     values: np.ndarray  # the network's parameters
+    learned: int  # ids and ends in the windows of all gradient steps
 
 
 def fit(training: DataFrame, subwords: Subwords) -> Model:
@@ -428,8 +428,10 @@ def fit(training: DataFrame, subwords: Subwords) -> Model:
     pairs = np.stack([np.bincount(of, row, CLASSES) for row in behind])
     share = shares(counts, behind, class_of)
     values = net.flat(net.start(pairs, WIDTH, STRIDE))
+    learned = 0
     for turn in range(ROUNDS):
-        values = _trained(training, class_of, values, turn)
+        values, seen = _trained(training, class_of, values, turn)
+        learned += seen
     # no id has these classes: they get no probability
     unused = np.bincount(of, minlength=CLASSES) == 0
     net.unflat(values, CLASSES, WIDTH, STRIDE, copy=False)["bias"][unused] = -1e4
@@ -443,6 +445,7 @@ def fit(training: DataFrame, subwords: Subwords) -> Model:
         class_of,
         share,
         values,
+        learned,
     )
 
 

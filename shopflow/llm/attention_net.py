@@ -96,8 +96,20 @@ class Windows:
         return Batch(places, number == 0, real)
 
 
+class Tables(NamedTuple):
+    """What the parameters say of classes alone, since a state is its class's embedding."""
+
+    query: np.ndarray  # (classes, width), scaled
+    key: np.ndarray
+    value: np.ndarray  # one more column, of ones, sums the weights
+    weight: np.ndarray  # (classes, classes): of a class read by a class, before the distance
+
+
 class Net:
-    """Forward and backward passes for one set of parameters, in memory that is used again."""
+    """Forward and backward passes for one set of parameters, in memory that is used again.
+
+    What depends on classes alone is computed by class and looked up, and its gradient is
+    summed by class before it goes on to the parameters."""
 
     def __init__(self, parameters: dict[str, np.ndarray], stride: int) -> None:
         self.p = parameters
@@ -109,58 +121,71 @@ class Net:
         self.causal = (i >= j).astype(F32)
         self.ones = np.ones(self.classes, F32)
         self.made: dict[str, np.ndarray] = {}
+        self.tables: Tables | None = None  # of the parameters as they are
 
-    def _room(self, name: str, *shape: int) -> np.ndarray:
+    def _room(self, name: str, *shape: int, kind=None) -> np.ndarray:
         """An array of this shape; the one of the last call where the shape is the same."""
         found = self.made.get(name)
         if found is None or found.shape != shape:
-            found = self.made[name] = np.empty(shape, F32)
+            found = self.made[name] = np.empty(shape, kind or F32)
         return found
 
+    def _tables(self) -> Tables:
+        p = self.p
+        query, key = p["embed"] @ (p["query"] * self.scale), p["embed"] @ p["key"]
+        value = np.hstack([p["embed"] @ p["value"], np.ones((self.classes, 1), F32)])
+        return Tables(query, key, value, np.exp(np.minimum(query @ key.T, _MOST)))
+
     def _forward(self, x: np.ndarray, first: np.ndarray):
         p, s, d, n = self.p, self.stride, self.width, len(x)
-        h = self._room("h", n, 2 * s, d)
-        np.take(p["embed"], x, 0, out=h, mode="clip")
-        rows, known = h.reshape(-1, d), h[:, s:]
-        q = self._room("q", n, s, d)
-        np.matmul(known.reshape(-1, d), p["query"] * self.scale, out=q.reshape(-1, d))
-        k = self._room("k", n, 2 * s, d)
-        np.matmul(rows, p["key"], out=k.reshape(-1, d))
-        turned = self._room("turned", n, d, 2 * s)
-        np.copyto(turned, k.transpose(0, 2, 1))
-        # one more column, of ones, sums the weights
-        v = self._room("v", n, 2 * s, d + 1)
-        np.matmul(rows, np.hstack([p["value"], np.zeros((d, 1), F32)]), out=v.reshape(-1, d + 1))
-        v[:, :, d] = 1
-        e = np.matmul(q, turned, out=self._room("e", n, s, 2 * s))
-        if e.max(initial=0) > _MOST:
-            np.minimum(e, _MOST, out=e)
-        np.exp(e, out=e)
+        if self.tables is None:
+            self.tables = self._tables()
+        x = x.astype(np.intp)
+        pairs = self._room("pairs", n, s, 2 * s, kind=np.intp)
+        np.add((x[:, s:] * self.classes)[:, :, None], x[:, None, :], out=pairs)
+        e = self._room("e", n, s, 2 * s)
+        np.take(self.tables.weight.ravel(), pairs, out=e, mode="clip")
         e *= np.exp(p["distance"])[self.back] * self.causal
         e[first, :, :s] = 0
+        v = self._room("v", n, 2 * s, d + 1)
+        np.take(self.tables.value, x, 0, out=v, mode="clip")
         sums = np.matmul(e, v, out=self._room("sums", n, s, d + 1))
         total = sums[:, :, d:]
         read = np.divide(sums[:, :, :d], total, out=self._room("read", n, s, d))
         z = self._room("z", n, s, d + 1)  # the last column takes the bias
-        np.add(known, read, out=z[:, :, :d])
+        np.add(np.take(p["embed"], x[:, s:], 0), read, out=z[:, :, :d])
         z[:, :, d] = 1
         z = z.reshape(-1, d + 1)
         y = np.matmul(z, np.vstack([p["out"], p["bias"]]), out=self._room("y", n * s, self.classes))
         if y.max(initial=0) > _MOST:
             np.minimum(y, _MOST, out=y)
-        return h, q, k, v, e, total, read, z, y
+        return x, pairs, v, e, total, read, z, y
 
     def log_probabilities(self, x: np.ndarray, first: np.ndarray, target: np.ndarray) -> np.ndarray:
-        """Natural log of each target class's probability; ``target`` (n, stride)."""
+        """Natural log of each target class's probability; ``target`` (n, stride). The
+        parameters are those of the first call."""
         y = self._forward(x, first)[-1]
         picked = y.ravel()[np.arange(len(y)) * self.classes + target.ravel()]
         np.exp(y, out=y)
         return (picked - np.log(y @ self.ones)).reshape(target.shape)
 
+    def _by_class(self, classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Sums of rows: a sorted order makes them sums of runs."""
+        ids = classes.ravel()
+        counts = np.bincount(ids, minlength=self.classes)
+        present = np.flatnonzero(counts)
+        order = np.argsort(ids.astype(np.uint16), kind="stable")  # 16 bits are sorted by their digits
+        ordered = np.take(rows.reshape(len(ids), -1), order, 0)
+        made = np.zeros((self.classes, rows.shape[-1]), F32)
+        made[present] = np.add.reduceat(ordered, (np.cumsum(counts) - counts)[present], axis=0)
+        return made
+
     def gradient(self, x: np.ndarray, first: np.ndarray, target: np.ndarray, real: np.ndarray):
         """Mean loss over the real positions and its gradient."""
         p, s, d, n = self.p, self.stride, self.width, len(x)
-        h, q, k, v, e, total, read, z, y = self._forward(x, first)
+        self.tables = made = self._tables()
+        x, pairs, v, e, total, read, z, y = self._forward(x, first)
+        self.tables = None  # the parameters change next
         at = np.arange(len(y)) * self.classes + target.ravel()
         picked = y.ravel()[at]
         np.exp(y, out=y)
@@ -170,8 +195,8 @@ class Net:
         loss = float(((np.log(sums) - picked) * weight).sum())
         y *= (weight / sums)[:, None]
         y.ravel()[at] -= weight
-        out = z.T @ y
-        g = {"out": out[:d], "bias": out[d]}
+        out = y.T @ z
+        g = {"out": out[:, :d].T, "bias": out[:, d]}
         dz = np.matmul(y, p["out"].T, out=self._room("dz", n * s, d)).reshape(n, s, d)
         dread = self._room("dread", n, s, d + 1)
         np.divide(dz, total, out=dread[:, :, :d])
@@ -181,26 +206,16 @@ class Net:
         de = np.matmul(dread, turned, out=self._room("de", n, s, 2 * s))
         de *= e
         g["distance"] = np.bincount(self.back.ravel(), de.sum(0).ravel(), 2 * s).astype(F32)
-        across = self._room("across", n, 2 * s, s)
-        np.copyto(across, e.transpose(0, 2, 1))
-        dv = np.matmul(across, dread[:, :, :d], out=self._room("dv", n, 2 * s, d)).reshape(-1, d)
-        np.copyto(across, de.transpose(0, 2, 1))
-        dk = np.matmul(across, q, out=self._room("dk", n, 2 * s, d)).reshape(-1, d)
-        dq = np.matmul(de, k, out=self._room("dq", n, s, d)).reshape(-1, d)
-        dq *= self.scale
-        rows, known = h.reshape(-1, d), h[:, s:].reshape(-1, d)
-        g["query"], g["key"], g["value"] = known.T @ dq, rows.T @ dk, rows.T @ dv
-        dh = np.matmul(dk, p["key"].T, out=self._room("dh", n * 2 * s, d))
-        dh += dv @ p["value"].T
-        there = dh.reshape(n, 2 * s, d)[:, s:]
-        there += dz
-        there += (dq @ p["query"].T).reshape(n, s, d)
-        # sums by class: a sorted order makes them sums of runs
-        ids = x.ravel()
-        order = np.argsort(ids, kind="stable")
-        present, begin = np.unique(ids[order], return_index=True)
-        g["embed"] = np.zeros_like(p["embed"])
-        g["embed"][present] = np.add.reduceat(dh[order], begin, axis=0)
+        dv = np.matmul(e.transpose(0, 2, 1), dread[:, :, :d], out=self._room("dv", n, 2 * s, d))
+        # from here on by class
+        by_pair = np.bincount(pairs.ravel(), de.ravel(), self.classes**2).astype(F32)
+        by_pair = by_pair.reshape(self.classes, -1)
+        dquery, dkey = by_pair @ made.key * self.scale, by_pair.T @ made.query
+        dvalue = self._by_class(x, dv)
+        embed = p["embed"]
+        g["query"], g["key"], g["value"] = embed.T @ dquery, embed.T @ dkey, embed.T @ dvalue
+        g["embed"] = self._by_class(x[:, s:], dz)
+        g["embed"] += dquery @ p["query"].T + dkey @ p["key"].T + dvalue @ p["value"].T
         return loss, g
 
 

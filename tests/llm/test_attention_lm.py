@@ -162,6 +162,13 @@ def test_distribution_sums_to_one(learned):
         assert (10.0 ** row[np.unique(of)]).sum() == pytest.approx(1, rel=1e-4)
 
 
+def test_learns_from_every_position(spark, rows, path, learned):
+    """Gradient steps take all windows of all training documents, each once."""
+    training = [t for i, t, *_ in rows if zlib.crc32(("" if i is None else str(i)).encode()) % 5 != 1]
+    ids = sum(len(b"".join(lm.vocabulary(path).spell([w])[0] for w in words_of(t))) // 2 for t in training)
+    assert learned.learned == ids + len(training)
+
+
 def test_later_words_change_nothing_before(learned, path):
     network, small = net.Net(net.unflat(learned.values, lm.CLASSES, lm.WIDTH, lm.STRIDE), lm.STRIDE), learned.class_of.astype(np.uint8)
 
