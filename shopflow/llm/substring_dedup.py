@@ -362,17 +362,23 @@ def _marked(rows: DataFrame, equal: DataFrame) -> DataFrame:
     return rows.join(equal, "sha", "left").withColumn("is_copy", copy)
 
 
-def _affected(slim: DataFrame, marked: DataFrame) -> DataFrame:
-    """Texts that have anchors in common with others, and where."""
-    runs = marked.where(~F.col("is_copy")).select(*KEY, F.inline("anchors"))
+def _affected(slim: DataFrame, originals: DataFrame) -> DataFrame:
+    """Texts that have anchors in common with others, and where. Uses up ``originals``.
+
+    The join with the texts needs more disk than all before it, so what that left goes first."""
+    spark = slim.sparkSession
+    runs = originals.select(*KEY, F.inline("anchors"))
     both = runs.groupBy("anchor").agg(F.min("me").alias("low"), F.max("me").alias("high"))
     # stored, so that the join below has plain inputs and a very common anchor can be split
     shared = stored(both.where("low < high").select("anchor"), "substring-shared")
+    release(spark)
     runs = runs.withColumn("place", F.struct("anchor", "first", "last"))
     by_row = runs.join(shared, "anchor").groupBy(*KEY).agg(F.collect_set("place").alias("runs"))
     by_row = stored(by_row, "substring-places")  # rows repeated very often can be split below
+    discard(originals, shared)
+    release(spark)
     affected = stored(slim.select(*KEY, "text").join(by_row, KEY), "substring-affected")
-    discard(shared, by_row)
+    discard(by_row)
     return affected
 
 
@@ -383,9 +389,15 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     slim = docs.select(
         doc_id.alias("doc_id"), F.coalesce(doc_id, F.lit(NOBODY)).alias("me"), F.xxhash64("text").alias("text_key"), "text"
     )
-    rows = stored(_scan(slim), "substring-rows")
-    copied = _copied(rows)
-    affected = _affected(slim, _marked(rows, copied))
+    scanned = stored(_scan(slim), "substring-scanned")
+    copied = _copied(scanned)
+    # stored, since two branches read the anchors; without them the rows are small
+    originals = _marked(scanned, copied).where(~F.col("is_copy")).select(*KEY, "anchors")
+    originals = stored(originals, "substring-originals")
+    rows = stored(scanned.drop("anchors"), "substring-rows")
+    discard(scanned)
+    release(spark)
+    affected = _affected(slim, originals)
     release(spark)
     segments = stored(_segments(affected), "substring-segments")
     spans = stored(_spans(segments), "substring-spans")
@@ -397,7 +409,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
 
     empty = F.lit(hashlib.sha256(b"").hexdigest())
     none = F.lit(0).cast("long")
-    return _marked(rows.drop("anchors"), copied).join(left, KEY, "left").select(
+    return _marked(rows, copied).join(left, KEY, "left").select(
         "doc_id",
         "n_words",
         F.when(F.col("is_copy"), F.col("n_words")).otherwise(F.coalesce("gone", none)).alias("n_removed"),

@@ -3,6 +3,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+from pathlib import Path
 
 import pytest
 
@@ -88,5 +89,28 @@ def test_automaton_finds_the_smallest_owner():
                 assert got[end] == min(holders, default=op.NOBODY)
 
 
+def test_anchors_are_gone_before_texts_are_shuffled(spark, monkeypatch):
+    """When the texts are joined, the disk holds no row's anchors and no shuffle of them."""
+    events, stored, release = [], op.stored, op.release
+
+    def remembered(table, label):
+        if label == "substring-affected":
+            events.append(label)
+            for made in kept:
+                assert not made.inputFiles() or not any(Path(f.removeprefix("file:")).exists() for f in made.inputFiles())
+        made = stored(table, label)
+        events.append(label)
+        if "anchors" in made.columns:
+            kept.append(made)
+        return made
+
+    kept: list = []
+    monkeypatch.setattr(op, "stored", remembered)
+    monkeypatch.setattr(op, "release", lambda session: events.append("release") or release(session))
+    rows = passages()
+    assert result(frame(spark, rows)) == brute(rows)
+    assert kept and events[events.index("substring-affected") - 1] == "release"
+
+
 def test_empty_table(spark):
     assert op.remove_repeats(frame(spark, [])).count() == 0
