@@ -102,22 +102,48 @@ class _Vocabulary:
         self.encode = tiktoken.Encoding(
             "subwords", pat_str=subwords.pattern, mergeable_ranks=ranks, special_tokens={}
         ).encode_ordinary
-        self.known: dict[bytes, bytes] = {}  # packed ids of words met before
+        self.known = pa.array([], pa.binary())  # words met before, and their ids
+        self.known_ids, self.known_lengths = np.array([], "<u2"), np.array([], np.int32)
         self.begins = np.zeros(END + 1, bool)  # ids of a text that begins with the space; the end
         self.begins[[i for token, i in ranks.items() if token[:1] == b" "]] = True
         self.begins[END] = True
 
-    def spell(self, words: list[bytes]) -> list[bytes]:
-        """Each word's packed ids. Words are encoded together: the space before a word keeps it
-        apart from the one before, unless they hold Unicode's white space."""
-        text = b" ".join([b"", *words]).decode()
+    def _spell(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """The ids of all words, and how many each has. Words are encoded together: the space before
+        a word keeps it apart from the one before, unless they hold Unicode's white space."""
+        if not len(words):
+            return np.array([], "<u2"), np.array([], np.int32)
+        all_words = pa.LargeListArray.from_arrays(pa.array([0, len(words)]), words.cast(pa.large_binary()))
+        text = " " + pc.binary_join(all_words, pa.scalar(b" ", pa.large_binary()))[0].as_py().decode()
         ids = np.array([] if _OTHER_SPACE.search(text) else self.encode(text), "<u2")
         starts = np.flatnonzero(self.begins[ids])
-        if len(starts) != len(words):
-            return [np.array(self.encode(" " + w.decode()), "<u2").tobytes() for w in words]
-        packed, ends = ids.tobytes(), [*(2 * starts).tolist(), 2 * len(ids)]
+        if len(starts) == len(words):
+            return ids, np.diff(starts, append=len(ids)).astype(np.int32)
+        each = [np.array(self.encode(" " + w.decode()), "<u2") for w in words.to_pylist()]
+        return np.concatenate(each), np.array([len(x) for x in each], np.int32)
+
+    def spell(self, words: list[bytes]) -> list[bytes]:
+        """Each word's packed ids."""
+        ids, lengths = self._spell(pa.array(words, pa.binary()))
+        packed, ends = ids.tobytes(), [0, *(2 * np.cumsum(lengths)).tolist()]
         return [packed[a:b] for a, b in zip(ends, ends[1:])]
 
+    def _look_up(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For distinct words: ids, where each word's begin among them, and how many it has."""
+        place = pc.index_in(words, self.known)
+        missing = words.filter(place.is_null())
+        ids, lengths = self._spell(missing)
+        # the new words stand behind those known
+        place = pc.fill_null(place, -1).to_numpy().copy()
+        place[place < 0] = len(self.known) + np.arange(len(missing))
+        self.known = pa.concat_arrays([self.known, missing])
+        self.known_ids = np.concatenate([self.known_ids, ids])
+        self.known_lengths = np.concatenate([self.known_lengths, lengths])
+        starts = np.cumsum(self.known_lengths, dtype=np.int32) - self.known_lengths
+        made = self.known_ids, starts[place], self.known_lengths[place]
+        if len(self.known) > KNOWN_WORDS:
+            self.known, self.known_ids, self.known_lengths = self.known[:0], ids[:0], lengths[:0]
+        return made
 
     def encode_texts(self, texts: pa.Array) -> tuple[np.ndarray, pa.Array]:
         """Each text's number of words, and its packed ids: every distinct word is spelled once,
@@ -128,16 +154,7 @@ class _Vocabulary:
         real = pc.greater(pc.binary_length(words), 0)  # white space at either end leaves empty ones
         words, text = words.filter(real).dictionary_encode(), text.filter(real)
         counts = np.bincount(text.to_numpy(), minlength=len(texts))
-        distinct = words.dictionary.cast(pa.binary()).to_pylist()
-        if len(self.known) > KNOWN_WORDS:
-            self.known.clear()
-        missing = [word for word in distinct if word not in self.known]
-        self.known.update(zip(missing, self.spell(missing)))
-        spelled = [self.known[word] for word in distinct]
-
-        ids = np.frombuffer(b"".join(spelled), "<u2")
-        lengths = np.array([len(x) // 2 for x in spelled], np.int32)
-        starts = np.cumsum(lengths, dtype=np.int32) - lengths
+        ids, starts, lengths = self._look_up(words.dictionary.cast(pa.binary()))
         order = words.indices.to_numpy()
         each = lengths[order]
         ends = np.append(0, np.cumsum(each))
@@ -211,12 +228,12 @@ class _Texts:
         return self.ids[1:]
 
 
-def _spelled(ids: np.ndarray, starts: np.ndarray) -> pa.DictionaryArray:
+def _spelled(ids: np.ndarray, starts: np.ndarray) -> pa.BinaryArray:
     """The words that begin at ``starts``, as packed ids."""
     ids = np.ascontiguousarray(ids)
     ends = np.append(starts, len(ids)).astype(np.int32) * np.int32(2)
     buffers = [None, pa.py_buffer(ends), pa.py_buffer(ids)]
-    return pa.Array.from_buffers(pa.binary(), len(starts), buffers).dictionary_encode()
+    return pa.Array.from_buffers(pa.binary(), len(starts), buffers)
 
 
 def _added(rows: DataFrame, key: str, kind: str, count) -> DataFrame:
@@ -235,7 +252,7 @@ def word_counts(training: DataFrame, subwords: Subwords) -> DataFrame:
 
     def count(batch: pa.RecordBatch) -> tuple[pa.Array, np.ndarray]:
         ids = np.frombuffer(b"".join(batch.column("ids").to_pylist()), "<u2")
-        found = _spelled(ids, np.flatnonzero(vocabulary(subwords).begins[ids]))
+        found = _spelled(ids, np.flatnonzero(vocabulary(subwords).begins[ids])).dictionary_encode()
         return found.dictionary, np.bincount(found.indices, minlength=len(found.dictionary))
 
     return stored(_added(training.select("ids"), "word", "binary", count), "lm-words")
@@ -371,12 +388,11 @@ def _trained(training: DataFrame, class_of: np.ndarray, values: np.ndarray, turn
         trainer = net.Trainer(net.unflat(values, CLASSES, WIDTH, STRIDE), STRIDE, RATE / 2**turn)
         for batch in _slices(batches):
             texts = _Texts(batch)
-            classes = small[texts.ids]
             found = net.Windows(texts.starts, texts.lengths, STRIDE)
+            pieces = found.pieces(small[texts.ids])
             mine = np.flatnonzero((found.number + batch.column("uid").to_numpy()[found.text]) % ROUNDS == turn)
             for at in range(0, len(mine), BATCH):
-                w = found.at(mine[at : at + BATCH])
-                trainer.step(classes[w.places], w.first, classes[w.places[:, STRIDE:] + 1], w.real)
+                trainer.step(*found.cut(pieces, mine[at : at + BATCH]))
         if trainer.seen:
             scaled = np.rint(net.flat(trainer.net.p).astype(np.float64) * (1 << 20)).astype(np.int64)
             arrays = [pa.array(range(len(scaled)), pa.int32()), pa.array(scaled), pa.array([trainer.seen] * len(scaled), pa.int64())]
@@ -452,14 +468,12 @@ def fit(training: DataFrame, subwords: Subwords) -> Model:
 def id_scores(batch: pa.RecordBatch, model: Model, network: net.Net, small: np.ndarray) -> tuple[_Texts, np.ndarray]:
     """log10 probability of every id and end of a batch's texts, each from one window."""
     texts = _Texts(batch)
-    classes = small[texts.ids]
     found = net.Windows(texts.starts, texts.lengths, STRIDE)
+    pieces = found.pieces(small[texts.ids])
     parts = []
     for at in range(0, len(found), SCORED):
-        w = found.at(slice(at, at + SCORED))
-        targets = w.places[:, STRIDE:]
-        logs = network.log_probabilities(classes[w.places], w.first, classes[targets + 1])
-        parts.append(logs[w.real])  # windows and positions follow the texts
+        *tokens, real = found.cut(pieces, slice(at, at + SCORED))
+        parts.append(network.log_probabilities(*tokens)[real])  # windows and positions follow the texts
     made = np.concatenate(parts).astype(np.float64)
     made *= _LOG10
     width = model.share.shape[1]
@@ -485,8 +499,7 @@ def score(encoded: DataFrame, model: Model) -> DataFrame:
             starts = np.flatnonzero(begin[texts.predicted])  # of words and ends
             logs = np.add.reduceat(logs, starts)
             found = _spelled(texts.predicted, starts)
-            place = pc.fill_null(pc.index_in(found.dictionary, hot), -1).to_numpy(zero_copy_only=False)
-            place = place[found.indices.to_numpy()]
+            place = pc.fill_null(pc.index_in(found, hot), -1).to_numpy(zero_copy_only=False)
             frequent = place >= 0
             n = np.where(frequent, hot_counts[place], 0)
             tokens = batch.column("n_words").to_numpy() + 1
@@ -501,7 +514,7 @@ def score(encoded: DataFrame, model: Model) -> DataFrame:
             rare = pa.ListArray.from_arrays(
                 pa.array(np.roll(ends, 1), pa.int32()),
                 pa.StructArray.from_arrays(
-                    [found.dictionary.take(found.indices.take(pa.array(few))), pa.array(logs[few], pa.float32())],
+                    [found.take(pa.array(few)), pa.array(logs[few], pa.float32())],
                     names=["word", "logp"],
                 ),
             )

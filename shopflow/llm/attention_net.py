@@ -15,10 +15,17 @@ from __future__ import annotations
 from typing import NamedTuple
 
 import numpy as np
+from numpy.lib.introspect import opt_func_info
+from numpy.lib.stride_tricks import sliding_window_view
 
 F32 = np.float32
 # exponents are bounded, so that no maximum need be taken from them first
 _MOST = F32(40)
+# powers of two cost half of those of e, but only where numpy has them in vector form
+_BASE2 = "AVX" in opt_func_info(func_name="^exp2$", signature="float32")["exp2"]["ff"]["current"]
+_power, _LOG_BASE = (np.exp2, float(np.log(2))) if _BASE2 else (np.exp, 1.0)
+# positions in one product with the output: BLAS takes products of this size unpacked, which halves their cost
+_ROWS = 512
 
 NAMES = ("embed", "query", "key", "value", "out", "bias", "distance")
 
@@ -74,6 +81,17 @@ class Batch(NamedTuple):
     real: np.ndarray
 
 
+class Cut(NamedTuple):
+    """Tokens of some windows: ``x`` (n, 2 stride), ``target`` (n, stride) behind each predicted
+    position. Unlike in ``Batch``, places outside the text hold tokens of its neighbours: those
+    before it are masked by ``first``, those behind it are read by no real position."""
+
+    x: np.ndarray
+    first: np.ndarray
+    target: np.ndarray
+    real: np.ndarray
+
+
 class Windows:
     """All windows over the texts at ``begins``: each one's ``text`` and ``number`` in it."""
 
@@ -82,6 +100,8 @@ class Windows:
         counts = -(-lengths // stride)
         self.text = np.repeat(np.arange(len(lengths)), counts)
         self.number = np.arange(len(self.text)) - np.repeat(np.cumsum(counts) - counts, counts)
+        self.begin = begins[self.text] + self.number * stride  # of the predictions
+        self.left = self.ends[self.text] - self.begin
         self.around = np.arange(-stride, stride)
 
     def __len__(self) -> int:
@@ -95,14 +115,28 @@ class Windows:
         np.clip(places, begin, end - 1, out=places)
         return Batch(places, number == 0, real)
 
+    def pieces(self, tokens: np.ndarray) -> np.ndarray:
+        """A view of the tokens for ``cut``: what a window reads, by the place of its first
+        prediction. Windows also lie before the first text and behind the last."""
+        return sliding_window_view(np.pad(tokens, self.stride), 2 * self.stride + 1)
+
+    def cut(self, pieces: np.ndarray, chosen) -> Cut:
+        """The tokens of some windows, each copied in one piece."""
+        pieces = pieces[self.begin[chosen]]
+        real = self.around[self.stride :] < self.left[chosen][:, None]
+        return Cut(pieces[:, :-1], self.number[chosen] == 0, pieces[:, self.stride + 1 :], real)
+
 
 class Tables(NamedTuple):
     """What the parameters say of classes alone, since a state is its class's embedding."""
 
     query: np.ndarray  # (classes, width), scaled
     key: np.ndarray
-    value: np.ndarray  # one more column, of ones, sums the weights
+    value: np.ndarray
     weight: np.ndarray  # (classes, classes): of a class read by a class, before the distance
+    factor: np.ndarray  # (stride, 2 stride): of the distance, none of what comes later
+    out: np.ndarray  # for exponents of the power in use
+    usual: np.ndarray  # of a class by its bias, before the state
 
 
 class Net:
@@ -119,7 +153,8 @@ class Net:
         i, j = np.arange(stride)[:, None] + stride, np.arange(2 * stride)
         self.back = np.maximum(i - j, 0)
         self.causal = (i >= j).astype(F32)
-        self.ones = np.ones(self.classes, F32)
+        self.ones = np.ones(max(self.width, 2 * stride), F32)
+        self.pair = np.uint16 if self.classes <= 1 << 8 else np.intp  # holds a pair of classes
         self.made: dict[str, np.ndarray] = {}
         self.tables: Tables | None = None  # of the parameters as they are
 
@@ -133,89 +168,125 @@ class Net:
     def _tables(self) -> Tables:
         p = self.p
         query, key = p["embed"] @ (p["query"] * self.scale), p["embed"] @ p["key"]
-        value = np.hstack([p["embed"] @ p["value"], np.ones((self.classes, 1), F32)])
-        return Tables(query, key, value, np.exp(np.minimum(query @ key.T, _MOST)))
+        weight = np.exp(np.minimum(query @ key.T, _MOST))
+        factor = np.exp(p["distance"])[self.back] * self.causal
+        usual = np.exp(np.minimum(p["bias"], _MOST))
+        return Tables(query, key, p["embed"] @ p["value"], weight, factor, p["out"] * F32(1 / _LOG_BASE), usual)
 
     def _forward(self, x: np.ndarray, first: np.ndarray):
-        p, s, d, n = self.p, self.stride, self.width, len(x)
-        if self.tables is None:
-            self.tables = self._tables()
-        x = x.astype(np.intp)
-        pairs = self._room("pairs", n, s, 2 * s, kind=np.intp)
-        np.add((x[:, s:] * self.classes)[:, :, None], x[:, None, :], out=pairs)
-        e = self._room("e", n, s, 2 * s)
-        np.take(self.tables.weight.ravel(), pairs, out=e, mode="clip")
-        e *= np.exp(p["distance"])[self.back] * self.causal
-        e[first, :, :s] = 0
-        v = self._room("v", n, 2 * s, d + 1)
-        np.take(self.tables.value, x, 0, out=v, mode="clip")
-        sums = np.matmul(e, v, out=self._room("sums", n, s, d + 1))
-        total = sums[:, :, d:]
-        read = np.divide(sums[:, :, :d], total, out=self._room("read", n, s, d))
-        z = self._room("z", n, s, d + 1)  # the last column takes the bias
-        np.add(np.take(p["embed"], x[:, s:], 0), read, out=z[:, :, :d])
-        z[:, :, d] = 1
-        z = z.reshape(-1, d + 1)
-        y = np.matmul(z, np.vstack([p["out"], p["bias"]]), out=self._room("y", n * s, self.classes))
-        if y.max(initial=0) > _MOST:
-            np.minimum(y, _MOST, out=y)
-        return x, pairs, v, e, total, read, z, y
+        """States (n, stride, width) of the predicted positions, and what they were made of:
+        classes, their pairs, values, the shares they are read with, and the sums read."""
+        made, s, d, n = self.tables, self.stride, self.width, len(x)
+        x = x.astype(self.pair)
+        small = self._room("small pairs", n, s, 2 * s, kind=self.pair)
+        np.add((x[:, s:] * self.pair(self.classes))[:, :, None], x[:, None, :], out=small)
+        x, pairs = x.astype(np.intp), self._room("pairs", n, s, 2 * s, kind=np.intp)
+        np.copyto(pairs, small)
+        a = self._room("a", n, s, 2 * s)
+        np.take(made.weight.ravel(), pairs, out=a, mode="clip")
+        a *= made.factor
+        a[first, :, :s] = 0
+        a *= (1 / (a.reshape(-1, 2 * s) @ self.ones[: 2 * s])).reshape(n, s, 1)
+        v = np.take(made.value, x, 0, out=self._room("v", n, 2 * s, d), mode="clip")
+        read = np.matmul(a, v, out=self._room("read", n, s, d))
+        z = np.take(self.p["embed"], x[:, s:], 0, out=self._room("z", n, s, d), mode="clip")
+        z += read
+        return x, pairs, v, a, read, z
+
+    def _grouped(self, rows: np.ndarray) -> np.ndarray:
+        """Groups of ``_ROWS`` rows, or one of all of them."""
+        size = _ROWS if len(rows) % _ROWS == 0 else len(rows)
+        return rows.reshape(len(rows) // max(size, 1), size, -1)
+
+    def _exponents(self, z: np.ndarray, target: np.ndarray):
+        """The powers of all classes without the bias, (positions, classes), the sums of those
+        with it, where the targets stand among the powers, and their log probabilities."""
+        z = z.reshape(-1, self.width)
+        y = self._room("y", len(z), self.classes)
+        np.matmul(self._grouped(z), self.tables.out, out=self._grouped(y))
+        if y.max(initial=0) > _MOST / _LOG_BASE:
+            np.minimum(y, _MOST / F32(_LOG_BASE), out=y)
+        at = self.made.get("at")
+        if at is None or len(at) != len(y):
+            at = self.made["at"] = np.arange(len(y)) * self.classes
+        target = target.ravel()
+        at = at + target.astype(np.intp)
+        logs = y.ravel()[at]
+        logs *= F32(_LOG_BASE)
+        logs += self.p["bias"][target]
+        _power(y, out=y)
+        sums = y @ self.tables.usual
+        logs -= np.log(sums)
+        return y, sums, at, logs
 
     def log_probabilities(self, x: np.ndarray, first: np.ndarray, target: np.ndarray) -> np.ndarray:
         """Natural log of each target class's probability; ``target`` (n, stride). The
         parameters are those of the first call."""
-        y = self._forward(x, first)[-1]
-        picked = y.ravel()[np.arange(len(y)) * self.classes + target.ravel()]
-        np.exp(y, out=y)
-        return (picked - np.log(y @ self.ones)).reshape(target.shape)
+        if self.tables is None:
+            self.tables = self._tables()
+        return self._exponents(self._forward(x, first)[-1], target)[-1].reshape(target.shape)
 
-    def _by_class(self, classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    def _by_class(self, name: str, classes: np.ndarray, rows: np.ndarray) -> np.ndarray:
         """Sums of rows: a sorted order makes them sums of runs."""
         ids = classes.ravel()
         counts = np.bincount(ids, minlength=self.classes)
         present = np.flatnonzero(counts)
-        order = np.argsort(ids.astype(np.uint16), kind="stable")  # 16 bits are sorted by their digits
-        ordered = np.take(rows.reshape(len(ids), -1), order, 0)
-        made = np.zeros((self.classes, rows.shape[-1]), F32)
-        made[present] = np.add.reduceat(ordered, (np.cumsum(counts) - counts)[present], axis=0)
+        # few digits are sorted by counting
+        order = np.argsort(ids.astype(np.uint8 if self.classes <= 1 << 8 else np.uint16), kind="stable")
+        rows = rows.reshape(len(ids), -1)
+        ordered = np.take(rows, order, 0, out=self._room(name, *rows.shape), mode="clip")
+        if rows.shape[1] % 2 == 0:  # two numbers are added as one complex number
+            ordered = ordered.view(np.result_type(rows, np.complex64))
+        made = np.zeros((self.classes, rows.shape[1]), F32)
+        made[present] = np.add.reduceat(ordered, (np.cumsum(counts) - counts)[present], axis=0).view(rows.dtype)
         return made
 
     def gradient(self, x: np.ndarray, first: np.ndarray, target: np.ndarray, real: np.ndarray):
         """Mean loss over the real positions and its gradient."""
         p, s, d, n = self.p, self.stride, self.width, len(x)
         self.tables = made = self._tables()
-        x, pairs, v, e, total, read, z, y = self._forward(x, first)
-        self.tables = None  # the parameters change next
-        at = np.arange(len(y)) * self.classes + target.ravel()
-        picked = y.ravel()[at]
-        np.exp(y, out=y)
-        sums = y @ self.ones
+        x, pairs, v, a, read, z = self._forward(x, first)
         weight = real.ravel().astype(F32)
         weight /= max(weight.sum(), 1)
-        loss = float(((np.log(sums) - picked) * weight).sum())
-        y *= (weight / sums)[:, None]
-        y.ravel()[at] -= weight
-        out = y.T @ z
-        g = {"out": out[:, :d].T, "bias": out[:, d]}
-        dz = np.matmul(y, p["out"].T, out=self._room("dz", n * s, d)).reshape(n, s, d)
-        dread = self._room("dread", n, s, d + 1)
-        np.divide(dz, total, out=dread[:, :, :d])
-        np.negative(np.einsum("nsd,nsd->ns", dread[:, :, :d], read), out=dread[:, :, d])
-        turned = self._room("v turned", n, d + 1, 2 * s)
+        y, sums, at, logs = self._exponents(z, target)
+        loss = -float(logs @ weight)
+        # probabilities less the targets, but for a factor of each class and one of each row
+        usual = np.maximum(made.usual, np.exp(-_MOST))  # the quotient stays finite
+        y.ravel()[at] -= sums / usual[target.ravel()]
+        weight /= sums
+        bias = weight @ y * usual
+        groups = self._grouped(y)
+        weighted = np.multiply(z.reshape(-1, d), weight[:, None], out=self._room("weighted z", n * s, d))
+        out = np.matmul(self._grouped(weighted).transpose(0, 2, 1), groups).sum(0) * usual
+        dz = self._room("dz", n * s, d)
+        np.matmul(groups, (p["out"] * usual).T.copy(), out=self._grouped(dz))
+        dz *= weight[:, None]
+        dz = dz.reshape(n, s, d)
+        self.tables = None  # the parameters change next
+        turned = self._room("v turned", n, d, 2 * s)
         np.copyto(turned, v.transpose(0, 2, 1))
-        de = np.matmul(dread, turned, out=self._room("de", n, s, 2 * s))
-        de *= e
-        g["distance"] = np.bincount(self.back.ravel(), de.sum(0).ravel(), 2 * s).astype(F32)
-        dv = np.matmul(e.transpose(0, 2, 1), dread[:, :, :d], out=self._room("dv", n, 2 * s, d))
+        da = np.matmul(dz, turned, out=self._room("da", n, s, 2 * s))
+        read *= dz
+        da -= (read.reshape(-1, d) @ self.ones[:d]).reshape(n, s, 1)
+        da *= a  # by the exponents from here on
+        by_distance = np.ones(n, F32) @ da.reshape(n, -1)
+        dv = np.matmul(a.transpose(0, 2, 1), dz, out=self._room("dv", n, 2 * s, d))
         # from here on by class
-        by_pair = np.bincount(pairs.ravel(), de.ravel(), self.classes**2).astype(F32)
+        by_pair = np.bincount(pairs.ravel(), da.ravel(), self.classes**2).astype(F32)
         by_pair = by_pair.reshape(self.classes, -1)
         dquery, dkey = by_pair @ made.key * self.scale, by_pair.T @ made.query
-        dvalue = self._by_class(x, dv)
+        dvalue = self._by_class("dv by class", x, dv)
+        dstate = self._by_class("dz by class", x[:, s:], dz)
         embed = p["embed"]
-        g["query"], g["key"], g["value"] = embed.T @ dquery, embed.T @ dkey, embed.T @ dvalue
-        g["embed"] = self._by_class(x[:, s:], dz)
-        g["embed"] += dquery @ p["query"].T + dkey @ p["key"].T + dvalue @ p["value"].T
+        g = {
+            "embed": dstate + dquery @ p["query"].T + dkey @ p["key"].T + dvalue @ p["value"].T,
+            "query": embed.T @ dquery,
+            "key": embed.T @ dkey,
+            "value": embed.T @ dvalue,
+            "out": out,
+            "bias": bias,
+            "distance": np.bincount(self.back.ravel(), by_distance, 2 * s).astype(F32),
+        }
         return loss, g
 
 
@@ -223,19 +294,25 @@ class Trainer:
     """Adam over batches of windows, from given parameters."""
 
     def __init__(self, parameters: dict[str, np.ndarray], stride: int, rate: float) -> None:
-        self.net = Net({name: value.copy() for name, value in parameters.items()}, stride)
+        self.values = flat(parameters)
+        # the network's parameters are views of the values, which change in place
+        self.net = Net(unflat(self.values, *parameters["embed"].shape, stride, copy=False), stride)
         self.rate, self.steps, self.seen = rate, 0, 0
-        self.mean = {name: np.zeros_like(value) for name, value in self.net.p.items()}
-        self.square = {name: np.zeros_like(value) for name, value in self.net.p.items()}
+        self.mean, self.square = np.zeros_like(self.values), np.zeros_like(self.values)
 
     def step(self, x: np.ndarray, first: np.ndarray, target: np.ndarray, real: np.ndarray) -> float:
         loss, gradient = self.net.gradient(x, first, target, real)
         self.steps += 1
-        self.seen += int(real.sum())
+        self.seen += int(np.count_nonzero(real))
         rate = self.rate * np.sqrt(1 - 0.98**self.steps) / (1 - 0.9**self.steps)
-        for name, g in gradient.items():
-            m, v = self.mean[name], self.square[name]
-            m += F32(0.1) * (g - m)
-            v += F32(0.02) * (g * g - v)
-            self.net.p[name] -= F32(rate) * m / (np.sqrt(v) + F32(1e-6))
+        g = flat(gradient)
+        for mean, new, share in ((self.mean, g, 0.1), (self.square, g * g, 0.02)):
+            new -= mean
+            new *= F32(share)
+            mean += new
+        root = np.sqrt(self.square)
+        root += F32(1e-6)
+        change = np.divide(self.mean, root, out=root)
+        change *= F32(rate)
+        self.values -= change
         return loss

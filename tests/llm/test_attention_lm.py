@@ -61,6 +61,41 @@ def test_windows_predict_every_position_once():
             assert list(places[:4]) == list(range(begins[t] + 4 * (k - 1), begins[t] + 4 * k))
 
 
+def test_cut_windows_hold_the_tokens_at_their_places():
+    lengths = np.array([1, 4, 5, 8, 100, 1])
+    begins = np.cumsum(lengths) - lengths
+    ids = np.random.default_rng(4).integers(0, 250, lengths.sum() + 1).astype(np.uint8)
+    every = net.Windows(begins, lengths, 4)
+    chosen = np.arange(len(every))[::-1]
+    found, cut = every.at(chosen), every.cut(every.pieces(ids), chosen)
+    assert (cut.first == found.first).all() and (cut.real == found.real).all()
+    assert (cut.target[cut.real] == ids[found.places[:, 4:] + 1][cut.real]).all()
+    assert (cut.x[:, 4:][cut.real] == ids[found.places[:, 4:]][cut.real]).all()
+    assert (cut.x[:, :4][~cut.first] == ids[found.places[:, :4]][~cut.first]).all()
+
+
+@pytest.mark.parametrize("base2", [True, False])
+@pytest.mark.parametrize("windows", [1, 3, net._ROWS // 16, 2 * net._ROWS // 16, 2 * net._ROWS // 16 + 1])
+def test_grouped_windows_equal_windows_alone(monkeypatch, windows, base2):
+    """However positions are grouped, and whichever power is in use."""
+    monkeypatch.setattr(net, "_power", np.exp2 if base2 else np.exp)
+    monkeypatch.setattr(net, "_LOG_BASE", math.log(2) if base2 else 1.0)
+    rng, p = np.random.default_rng(5), small_net(6, 9, 6, 16, np.float32)
+    x, target = rng.integers(0, 9, (windows, 32)), rng.integers(0, 9, (windows, 16))
+    first, real = rng.random(windows) < 0.3, rng.random((windows, 16)) < 0.8
+    real[:, 0] = True
+    network = net.Net(p, 16)
+    loss, gradient = network.gradient(x, first, target, real)
+    logs = network.log_probabilities(x, first, target)
+    assert loss == pytest.approx(-logs[real].mean(), rel=1e-4)
+    each = [net.Net(p, 16).gradient(*(part[i : i + 1] for part in (x, first, target, real))) for i in range(windows)]
+    share = real.sum(1) / real.sum()
+    assert loss == pytest.approx(sum(w * one for w, (one, _) in zip(share, each)), rel=1e-4)
+    for name in net.NAMES:
+        want = sum(w * g[name] for w, (_, g) in zip(share, each))
+        assert gradient[name] == pytest.approx(want, abs=2e-5)
+
+
 def one_by_one(p, stride, classes):
     """log10 distributions of the next class behind every prefix, one position at a time."""
     d, out = p["embed"].shape[1], []
@@ -153,6 +188,21 @@ def test_words_spell_alone_as_together(path):
     assert known.spell([]) == []
 
 
+def test_known_words_are_spelled_once(path, monkeypatch):
+    """A slice's new words alone reach the tokenizer, and what is known is bounded."""
+    known, texts = lm._Vocabulary(path), [["b A a", None, " c\na "], ["a d", "", "d b é漢字"], ["x" * 900 + " a"]]
+    met, encode = [], known.encode
+    known.encode = lambda text: met.append(text) or encode(text)
+    made = [known.encode_texts(pa.array(part, pa.string())) for part in texts]
+    assert met == [" b a c", " d é漢字", " " + "x" * 900]
+    monkeypatch.setattr(lm, "KNOWN_WORDS", 2)
+    again = [known.encode_texts(pa.array(part, pa.string())) for part in texts]
+    assert len(known.known) <= 2
+    for part, (counts, packed), (_, same) in zip(texts, made, again):
+        assert packed.equals(same) and counts.tolist() == [len(words_of(t)) for t in part]
+        assert packed.to_pylist() == [b"".join(lm.vocabulary(path).spell([w])[0] for w in words_of(t)) for t in part]
+
+
 def test_distribution_sums_to_one(learned):
     size = learned.share.shape[1] - 1
     of = lm.classes_with_end(learned.class_of, size)
